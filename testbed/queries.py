@@ -21,9 +21,9 @@ from wayprint.operators import (
     repeat_flag_by, sum_by, total,
 )
 from wayprint.plans.catalog import DAILY_JOBS, FULL_JOBS, ITEM_JOBS, USER_JOBS
-from wayprint.plans.facts import Window, other_visits, rejected_page_views
+from wayprint.plans.facts import FACTS, Window, sum_parts, other_visits, rejected_page_views
 from wayprint.plans.jobs import run_daily, run_job
-from wayprint.plans.profiles import build_state, item_documents, user_documents
+from wayprint.plans.profiles import build_state, fact_rows, item_documents, user_documents
 from wayprint.sources import documents_table, format_row, query_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,7 +191,8 @@ def item_profiles(spark, sf):
 
 def user_profiles(spark, sf):
     tables = registry(spark, sf)
-    return user_documents(build_state(tables), tables)
+    articles = FACTS["visits"].rows(tables, subjects=["article"]).filter("itemized")
+    return user_documents(fact_rows(tables), tables, browsed=sum_parts(articles, USER_ITEM))
 
 
 PATTERNS: dict[str, Query] = {

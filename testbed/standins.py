@@ -143,9 +143,13 @@ def load(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry(spark: SparkSession, sf_dir: str) -> Registry:
     """All source tables, made from the test tables of a folder."""
+    bases: dict[str, DataFrame] = {}
+
     def loader(spark: SparkSession, name: str) -> DataFrame:
         source = STANDINS[name]
-        base = load(source.base, spark, sf_dir)
+        if source.base not in bases:
+            bases[source.base] = load(source.base, spark, sf_dir)
+        base = bases[source.base]
         if source.where:
             base = base.filter(source.where)
         return base.selectExpr(*[f"{e} AS {c}" for c, e in source.columns.items()])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -15,14 +15,13 @@ def json_field(col: str | Column, key: str) -> Column:
     return F.replace(F.get_json_object(col, f"$.{key}"), F.lit('"'), F.lit(""))
 
 
-def json_fields(col: str | Column, keys: Iterable[str]) -> Column:
-    """Several top-level JSON values in one parse, as a struct of text fields.
+def json_fields(df: DataFrame, col: str, fields: Mapping[str, str]) -> DataFrame:
+    """Adds several top-level JSON values, each text parsed once; ``fields`` maps key to column.
 
     Same rules as :func:`json_field`.
     """
-    keys = list(keys)
-    parsed = F.from_json(col, ", ".join(f"`{k}` string" for k in keys))
-    return F.struct(*[F.replace(parsed[k], F.lit('"'), F.lit("")).alias(k) for k in keys])
+    parsed = df.select("*", F.json_tuple(col, *fields).alias(*fields.values()))
+    return parsed.withColumns({c: F.replace(c, F.lit('"'), F.lit("")) for c in fields.values()})
 
 
 def url_segment(col: str | Column, index: int) -> Column:

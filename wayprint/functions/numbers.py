@@ -1,4 +1,4 @@
-"""Numbers: exact amounts, means from (sum, count), the priority case."""
+"""Numbers: amounts that add exactly, means from (sum, count), the priority case."""
 
 from __future__ import annotations
 
@@ -6,26 +6,27 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-AMOUNT_TYPE = "decimal(28,8)"
+UNITS = 10_000
 
 
-def exact_amount(col: str | Column) -> Column:
-    """An amount as a decimal, so that sums do not depend on the order of rows.
+def amount_units(col: str | Column) -> Column:
+    """An amount as a whole number of ten-thousandths.
 
-    With doubles, a retried task or a different split of days would change the
-    last digits. A value that is no number becomes null.
+    Sums of whole numbers do not depend on the order of rows. With doubles, a
+    retried task or a different split of days would change the last digits. A
+    value that is no number becomes null.
     """
-    return _col(col).try_cast(AMOUNT_TYPE)
+    return F.rint(_col(col).try_cast("double") * UNITS).try_cast("bigint")
 
 
-def mean_of(total: str | Column, n: str | Column) -> Column:
-    """Mean as a double; null when there is nothing to average."""
-    return F.try_divide(_col(total).cast("double"), _col(n).cast("double"))
+def mean_of(units: str | Column, n: str | Column) -> Column:
+    """Mean of amounts from the sum of their units; null when there are none."""
+    return F.try_divide(_col(units) / F.lit(float(UNITS)), _col(n).cast("double"))
 
 
-def integer_mean_of(total: str | Column, n: str | Column) -> Column:
+def integer_mean_of(units: str | Column, n: str | Column) -> Column:
     """Truncated sum divided by the count, without a fraction."""
-    whole = _col(total).cast("bigint")
+    whole = F.call_function("div", _col(units), F.lit(UNITS).cast("bigint"))
     return F.call_function("div", whole, F.nullif(_col(n).cast("bigint"), F.lit(0).cast("bigint")))
 
 

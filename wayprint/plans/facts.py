@@ -1,7 +1,7 @@
 """What happened, per source: one row per event with the parts it adds to a profile.
 
-Every fact has the columns of ``KEYS`` and some of ``PARTS``. All parts are
-additive, so any set of facts, or any set of days, combines by summing:
+Every fact has the columns of ``KEYS`` and some of ``PARTS``. All parts are whole
+numbers that add up, so any set of facts, or any set of days, combines by summing:
 
 - ``subject``: what the event is about (rest, lounge, parking, ...)
 - ``itemized``: whether it belongs in a per-item document, or only in the user's
@@ -23,18 +23,17 @@ from wayprint.constants import (
     ARTICLE_URL_PREFIX, BANNER_URL_PREFIXES, BROWSE_URLS, CODE_CLASSES, COMMENT_SCORE_ABOVE, DAY_ZONE,
 )
 from wayprint.functions import (
-    any_prefix, exact_amount, explode_codes, has_prefix, in_values, in_window, json_fields, not_blank,
+    any_prefix, amount_units, explode_codes, has_prefix, in_values, in_window, json_fields, not_blank,
     prefix_id, present, url_segment,
 )
 from wayprint.operators.joins import attach, attach_spread
 from wayprint.sources import Registry
 
 KEYS = ["subject", "itemized", "user_id", "item_code"]
-PARTS = {
-    "amount_sum": "decimal(38,8)", "amount_n": "bigint", "order_n": "bigint", "usage_n": "bigint",
-    "people_sum": "bigint", "browse_n": "bigint", "collection_n": "bigint", "comment_n": "bigint",
-    "favor_n": "bigint", "class_sum": "decimal(38,8)", "class_n": "bigint",
-}
+PARTS = [
+    "amount_sum", "amount_n", "order_n", "usage_n", "people_sum", "browse_n",
+    "collection_n", "comment_n", "favor_n", "class_sum", "class_n",
+]
 
 
 @dataclass(frozen=True)
@@ -113,7 +112,7 @@ def _orders(registry: Registry, window: Window, subjects: frozenset[str], parts:
     ])
 
     priced_by_header = F.col("subject") != "rest"
-    amount = F.when(priced_by_header, exact_amount("actual_amount"))
+    amount = F.when(priced_by_header, amount_units("actual_amount"))
     if "amount" in rows.columns:
         amount = F.coalesce(amount, F.col("amount"))
     rows = rows.withColumn("amount_sum", amount)
@@ -133,7 +132,7 @@ def _restaurant_lines(registry: Registry, window: Window, parts: frozenset[str])
         # One row per class, so the join repeats no order line.
         scores = (
             registry.table("restaurant_class")
-            .select("fd_class", exact_amount("fd_cls").alias("score"))
+            .select("fd_class", amount_units("fd_cls").alias("score"))
             .filter(present("fd_class", "score"))
             .groupBy("fd_class")
             .agg(F.sum("score").alias("class_sum"), F.count(F.lit(1)).alias("class_n"))
@@ -142,7 +141,7 @@ def _restaurant_lines(registry: Registry, window: Window, parts: frozenset[str])
     else:
         lines = lines.withColumns({"class_sum": no_part("class_sum"), "class_n": no_part("class_n")})
     return _lines(
-        lines.withColumn("amount", exact_amount("xfprice")), "rest", "fd_code", "fd_restaurant_code",
+        lines.withColumn("amount", amount_units("xfprice")), "rest", "fd_code", "fd_restaurant_code",
         extra=["amount", "class_sum", "class_n"],
     )
 
@@ -193,7 +192,7 @@ def _lounges(registry: Registry, window: Window, subjects: frozenset[str], parts
         visits = window.filter(registry.table("tblconsumerecord"), "consumetime")
         added.append(visits.filter(present("dragoncode", "loungecode")).select(
             "dragoncode", F.col("loungecode").alias("item_code"),
-            exact_amount("point").alias("amount_sum"),
+            amount_units("point").alias("amount_sum"),
             _one_if(present("point")).alias("amount_n"),
             F.lit(1).cast("bigint").alias("usage_n"),
             F.when(has_prefix("loungecode", "N"), F.col("personcount")).alias("people_sum"),
@@ -219,14 +218,14 @@ def _browses(registry: Registry, window: Window, subjects: frozenset[str], parts
     for name in sorted(subjects):
         subject = F.when(in_values("url", BROWSE_URLS[name]), F.lit(name)).otherwise(subject)
         if name in _BROWSED_ITEM:
-            item = F.when(F.col("subject") == name, F.col("p")[_BROWSED_ITEM[name]]).otherwise(item)
-    keys = ["userId", *sorted({_BROWSED_ITEM[s] for s in subjects if s in _BROWSED_ITEM})]
+            item = F.when(F.col("subject") == name, F.col(_BROWSED_ITEM[name])).otherwise(item)
+    keys = {"userId": "user_id", **{_BROWSED_ITEM[s]: _BROWSED_ITEM[s] for s in sorted(subjects) if s in _BROWSED_ITEM}}
     urls = [u for s in sorted(subjects) for u in BROWSE_URLS[s]]
     views = window.filter(registry.table("tbd_url_element").filter(in_values("url", urls)), "create_time")
     return (
-        views.select(subject.alias("subject"), json_fields("param", keys).alias("p"))
-        .filter(not_blank("p.userId"))
-        .select("subject", F.col("p.userId").alias("user_id"), item.alias("item_code"))
+        json_fields(views.select(subject.alias("subject"), "param"), "param", keys)
+        .filter(not_blank("user_id"))
+        .withColumn("item_code", item)
         .withColumn("itemized", not_blank("item_code"))
         .withColumn("item_code", F.when(F.col("itemized"), F.col("item_code")))
         .withColumn("browse_n", F.lit(1).cast("bigint"))
@@ -309,7 +308,7 @@ FACTS = {
 
 
 def no_part(part: str) -> Column:
-    return F.lit(None).cast(PARTS[part]).alias(part)
+    return F.lit(None).cast("bigint").alias(part)
 
 
 def sum_parts(df: DataFrame, keys: Iterable[str]) -> DataFrame:
@@ -328,9 +327,8 @@ def rejected_page_views(registry: Registry, window: Window = Window()) -> DataFr
     """Browse URLs whose parameters name no user, counted per URL."""
     urls = [u for found in BROWSE_URLS.values() for u in found]
     views = window.filter(registry.table("tbd_url_element").filter(in_values("url", urls)), "create_time")
-    user = json_fields("param", ["userId"])["userId"]
-    return views.filter(~F.coalesce(not_blank(user), F.lit(False))).groupBy("url").agg(
-        F.count(F.lit(1)).alias("rejected"))
+    rejected = json_fields(views, "param", {"userId": "user_id"}).filter(~not_blank("user_id"))
+    return rejected.groupBy("url").agg(F.count(F.lit(1)).alias("rejected"))
 
 
 def prefix_subject(col: str, letters: dict[str, str]) -> Column:

@@ -21,22 +21,24 @@ from wayprint.plans.jobs import article_label_sums
 from wayprint.sources import Registry
 
 
-def build_state(registry: Registry, window: Window = Window(), facts: Iterable[str] | None = None) -> DataFrame:
-    """The state of a span of days.
+def fact_rows(registry: Registry, window: Window = Window(), facts: Iterable[str] | None = None) -> DataFrame:
+    """The rows of all facts together, not summed."""
+    return _together([FACTS[n].rows(registry, window) for n in (FACTS if facts is None else facts)])
 
-    Each fact is summed by the same keys, so the sums are already partitioned
-    for the last step and are not shuffled again.
-    """
-    names = list(FACTS) if facts is None else list(facts)
-    return add_states(*[sum_parts(FACTS[n].rows(registry, window), KEYS) for n in names])
+
+def build_state(registry: Registry, window: Window = Window(), facts: Iterable[str] | None = None) -> DataFrame:
+    """The state of a span of days: all facts summed in one aggregation."""
+    return sum_parts(fact_rows(registry, window, facts), KEYS)
 
 
 def add_states(*states: DataFrame) -> DataFrame:
     """The state of all the days of the given states together."""
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), states)
-    summed = sum_parts(union, KEYS)
-    missing = [p for p in PARTS if p not in summed.columns]
-    return summed.withColumns({p: no_part(p) for p in missing}).select(*KEYS, *PARTS)
+    return sum_parts(_together(states), KEYS)
+
+
+def _together(rows: Iterable[DataFrame]) -> DataFrame:
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return union.select(*KEYS, *[p if p in union.columns else no_part(p) for p in PARTS])
 
 
 def item_documents(state: DataFrame) -> DataFrame:
@@ -56,14 +58,19 @@ def item_documents(state: DataFrame) -> DataFrame:
     return documents.filter(_any_present(fields))
 
 
-def user_documents(state: DataFrame, registry: Registry | None = None) -> DataFrame:
+def user_documents(
+    state: DataFrame, registry: Registry | None = None, browsed: DataFrame | None = None,
+) -> DataFrame:
     """One document per user with the fields of all user jobs.
 
-    With a registry, the sums of article labels are added.
+    ``state`` may also be unsummed fact rows, when no item documents are wanted.
+    With a registry, the sums of article labels are added. They follow from the
+    views per user and article: ``browsed``, or else the article rows of the state.
     """
+    per_subject = sum_parts(state, ["user_id", "subject"])
     wanted = {(job.subject, part) for job in USER_JOBS for part in job.parts}
-    summed = state.groupBy("user_id").agg(*[
-        F.sum(F.when(F.col("subject") == subject, F.col(part))).alias(f"{subject}_{part}")
+    summed = per_subject.groupBy("user_id").agg(*[
+        F.max(F.when(F.col("subject") == subject, F.col(part))).alias(f"{subject}_{part}")
         for subject, part in sorted(wanted)
     ])
     fields = {
@@ -73,12 +80,14 @@ def user_documents(state: DataFrame, registry: Registry | None = None) -> DataFr
     documents = summed.select(
         document_id("user_id").alias("id"), "user_id", *[c.alias(f) for f, c in fields.items()],
     )
-    if registry is None:
-        return documents.filter(_any_present(fields))
-    browsed = state.filter("subject = 'article' and itemized and browse_n is not null")
-    labels = article_label_sums(browsed, registry)
-    documents = attach(documents, labels, {"user_id": "user_id"})
-    return documents.filter(_any_present([*fields, *[c for c in labels.columns if c != "user_id"]]))
+    names = list(fields)
+    if registry is not None:
+        if browsed is None:
+            browsed = state.filter("subject = 'article' and itemized and browse_n is not null")
+        labels = article_label_sums(browsed, registry)
+        documents = attach(documents, labels, {"user_id": "user_id"})
+        names += [c for c in labels.columns if c != "user_id"]
+    return documents.filter(_any_present(names))
 
 
 def _named(subject: str) -> Callable[[str], Column]:

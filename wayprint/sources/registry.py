@@ -58,12 +58,15 @@ class Registry:
         if callable(databases):
             databases = {name: databases for name in set(DATABASE.values())}
         self._databases = dict(databases)
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        raw = self._databases[DATABASE[name]](self.spark, name)
-        return raw.select(*[
-            _source_column(raw, name, column, kind) for column, kind in COLUMNS[name].items()
-        ])
+        if name not in self._tables:
+            raw = self._databases[DATABASE[name]](self.spark, name)
+            self._tables[name] = raw.select(*[
+                _source_column(raw, name, column, kind) for column, kind in COLUMNS[name].items()
+            ])
+        return self._tables[name]
 
 
 def _source_column(raw: DataFrame, table: str, column: str, kind: str | None) -> Column:
