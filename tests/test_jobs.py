@@ -1,0 +1,224 @@
+"""Jobs on literal rows: every awkward case of each source."""
+
+import datetime as dt
+
+import pytest
+
+from tests.conftest import rows_of
+from wayprint.constants import ARTICLE_URL_PREFIX, BANNER_URL_PREFIXES, BROWSE_URLS
+from wayprint.plans.catalog import DAILY_JOBS, FULL_JOBS
+from wayprint.plans.facts import FACTS, KEYS, PARTS, Window, other_visits, rejected_page_views
+from wayprint.plans.jobs import run_daily, run_job
+
+DAY = dt.datetime(2024, 1, 14, 4)      # within 2024-01-14 at GMT+8
+NEXT = dt.datetime(2024, 1, 15, 4)
+AS_OF = dt.date(2024, 1, 15)
+
+
+def test_catalogue_is_complete():
+    assert list(FULL_JOBS) == [f"A{i:02}" for i in range(1, 27)] + [f"B{i:02}" for i in range(1, 36)]
+    assert list(DAILY_JOBS) == [f"C{i:02}" for i in range(1, 19)] + [f"D{i:02}" for i in range(1, 25)]
+    assert len(FULL_JOBS) + len(DAILY_JOBS) == 103
+    for daily, full in DAILY_JOBS.items():
+        job = FULL_JOBS[full]
+        assert (daily[0], job.level) in {("C", "item"), ("D", "user")}
+        assert len(job.fields) == 1
+        assert all(p.endswith("_n") for p in job.parts), "only counts are carried forward"
+
+
+def test_no_field_has_two_writers():
+    written = [(j.collection, f) for j in FULL_JOBS.values() for f in j.fields]
+    assert len(written) == len(set(written))
+    assert len({(c, f.lower()) for c, f in written}) == len(written)
+
+
+def test_jobs_ask_for_what_their_fact_has():
+    for job in FULL_JOBS.values():
+        if job.fact:
+            assert job.subject in FACTS[job.fact].subjects
+            assert set(job.parts) <= FACTS[job.fact].parts
+
+
+def test_facts_keep_their_shape_for_any_choice(tables):
+    registry = tables()
+    for fact in FACTS.values():
+        assert set(fact.rows(registry).columns) == {*KEYS, *fact.parts}
+        for subject in fact.subjects:
+            rows = fact.rows(registry, Window.day_before(AS_OF), [subject])
+            assert [c for c in rows.columns if c in KEYS] == KEYS
+            assert all(t == "bigint" for c, t in rows.dtypes if c in PARTS)
+
+
+@pytest.fixture
+def orders(tables):
+    return tables(
+        tb_order=[("o1", 1, 10.0, DAY), ("o2", 1, 30.0, NEXT), ("o3", None, 5.0, DAY), ("o4", 2, None, DAY), (None, 9, 1.0, DAY)],
+        restaurant_order_detail2=[
+            ("o1", "R1", 100.0, DAY, "c1"), ("o2", "R1", 50.0, NEXT, "c2"), ("o2", "R1", None, NEXT, "c9"),
+            ("o2", None, 7.0, DAY, "c3"), ("o3", "R1", 1.0, DAY, "c1"), ("zz", "R1", 1.0, DAY, "c1"), (None, "R1", 1.0, DAY, "c1"),
+        ],
+        restaurant_class=[("c1", "1"), ("c1", "0"), ("c2", "1"), ("c3", "n/a"), (None, "1"), ("c9", None)],
+        td_restaurant_order=[("o1", "R1", DAY), ("o1", "R1", NEXT), ("o3", "R1", DAY)],
+        tb_order_parking=[("o1", "P1", dt.date(2024, 1, 14)), ("o2", "P1", dt.date(2024, 1, 15)), ("o4", "P1", dt.date(2024, 1, 14)),
+                          ("o1", None, dt.date(2024, 1, 14))],
+        tb_order_cip=[("o1", "C1"), ("o1", "C1"), ("o2", None), ("o4", "C1")],
+        tb_order_cip_record=[("o1", DAY), ("o1", NEXT), ("o4", DAY), ("zz", DAY), (None, DAY)],
+        tb_order_vvip=[("o1",), ("o2",), ("o3",), ("o4",)],
+        tb_order_limousine=[("o2",), ("zz",)],
+    )
+
+
+@pytest.mark.parametrize("job,expected", [
+    ("A01", [("1", "R1", 75.0), ("1", None, 7.0)]),
+    ("A02", [("1", "R1", 3), ("1", None, 1)]),
+    ("A03", [("1", "R1", True), ("1", None, False)]),
+    ("A04", [("1", "R1", 2)]),
+    ("A08", [("1", "P1", 20.0)]),
+    ("A10", [("1", "P1", 2)]),
+    ("A12", [("1", "C1", 4), ("2", "C1", 1)]),
+    ("B04", [("1", 157 / 3)]),
+    ("B05", [("1", 4)]),
+    ("B06", [("1", True)]),
+    ("B07", [("1", 2)]),
+    ("B11", [("1", 10.0)]),
+    ("B13", [("1", 2)]),
+    ("B14", [("1", 4), ("2", 1)]),
+    ("B17", [("1", 2)]),
+    ("B25", [("1", "中餐")]),
+    ("B26", [("1", 20.0)]),
+    ("B29", [("1", 2)]),
+    ("B33", [("1", 30.0)]),
+    ("B35", [("1", 1)]),
+])
+def test_order_jobs(orders, job, expected):
+    found = run_job(orders, job)
+    assert rows_of(found, *FULL_JOBS[job].keys, *FULL_JOBS[job].fields) == sorted(expected, key=str)
+
+
+def test_transfer_mean_and_count_in_one_document(orders):
+    assert rows_of(run_job(orders, "A11"), "id", "averageOrderAmount", "consumptionNum") == [("1C1", 10.0, 2)]
+
+
+@pytest.mark.parametrize("job,expected", [
+    ("A02", [("1", "R1", 1), ("1", None, 1)]), ("A04", [("1", "R1", 1)]), ("A10", [("1", "P1", 1)]),
+    ("A12", [("1", "C1", 2), ("2", "C1", 1)]), ("B13", [("1", 2)]), ("B29", [("1", 1)]), ("B35", []),
+])
+def test_order_jobs_of_one_day(orders, job, expected):
+    found = run_job(orders, job, Window.day_before(AS_OF))
+    assert rows_of(found, *FULL_JOBS[job].keys, *FULL_JOBS[job].fields) == sorted(expected, key=str)
+
+
+def test_preference_label_at_and_below_the_threshold(tables):
+    def preference(*scores):
+        registry = tables(
+            tb_order=[("o", 1, 1.0, DAY)],
+            restaurant_order_detail2=[("o", "R", 1.0, DAY, str(i)) for i in range(len(scores))],
+            restaurant_class=[(str(i), s) for i, s in enumerate(scores)],
+        )
+        return rows_of(run_job(registry, "B25"), "restaurantPreferences")
+
+    assert preference("1", "0") == [("中餐",)]
+    assert preference("1", "0", "0") == [("西餐",)]
+    assert preference("n/a", None) == []
+
+
+@pytest.fixture
+def lounges(tables):
+    return tables(
+        tb_bindrecord=[("d1", 1), ("d1", 2), ("d2", None), ("d3", 3)],
+        tblconsumerecord=[("d1", "N1", 4, 2, DAY), ("d1", "N1", None, 3, NEXT), ("d3", "X1", 6, 9, DAY), ("d1", None, 1, 1, DAY),
+                          ("d2", "N1", 1, 1, DAY), ("d9", "N1", 1, 1, DAY)],
+        tb_order_loungeserv=[("d1", "N1,N2,,", dt.date(2024, 1, 14)), ("d3", ",N1", dt.date(2024, 1, 15)), ("d3", None, None)],
+        tb_customer_share=[(1, "N1", 3.0, DAY), (1, "N1", 2.0, DAY), (1, "R1", 5.0, DAY), (None, "N1", 5.0, DAY), (1, None, 5.0, DAY),
+                           (2, "N1", None, DAY)],
+    )
+
+
+@pytest.mark.parametrize("job,expected", [
+    ("A13", [("1", "N1", 4.0), ("2", "N1", 4.0), ("3", "X1", 6.0)]),
+    ("A14", [("1", "N1", 1), ("1", "N2", 1), ("2", "N1", 1), ("2", "N2", 1), ("3", "", 1), ("3", "N1", 1)]),
+    ("A15", [("1", "N1", 5), ("2", "N1", 5)]),
+    ("A18", [("1", "N1", 1)]),
+    ("A19", [("1", "N1", 2), ("2", "N1", 2), ("3", "X1", 1)]),
+    ("B22", [("1", 2), ("2", 2), ("3", 2)]),
+    ("B23", [("1", 5), ("2", 5)]),
+    ("B24", [("1", 2), ("2", 2), ("3", 1)]),
+])
+def test_lounge_jobs(lounges, job, expected):
+    assert rows_of(run_job(lounges, job), *FULL_JOBS[job].keys, *FULL_JOBS[job].fields) == expected
+
+
+def _view(subject, param):
+    return [(url, param, DAY) for url in BROWSE_URLS[subject]]
+
+
+def test_browse_jobs(tables):
+    known = '{"userId":1,"code":"X","parkingCode":"P"}'
+    rows = [row for subject in BROWSE_URLS for row in _view(subject, known)]
+    rows += [("/other", known, DAY), (None, known, DAY)]
+    rows += _view("rest", '{"userId":1}') + _view("parking", '{"userId":1,"code":"X"}')
+    rows += _view("shop", "not json") + _view("shop", None) + _view("shop", '{"userId":null,"code":"X"}') + _view("shop", '{"userId":""}')
+    registry = tables(tbd_url_element=rows)
+    for job, expected in {
+        "A05": [("1", "X", 3)], "A09": [("1", "P", 1)], "A16": [("1", "X", 4)], "A22": [("1", "X", 2)],
+        "B02": [("1", 2)], "B08": [("1", 6)], "B12": [("1", 3)], "B16": [("1", 2)], "B19": [("1", 4)], "B27": [("1", 5)], "B34": [("1", 3)],
+    }.items():
+        assert rows_of(run_job(registry, job), *FULL_JOBS[job].keys, *FULL_JOBS[job].fields) == expected, job
+    assert rows_of(rejected_page_views(registry), "url", "rejected") == sorted((u, 4) for u in BROWSE_URLS["shop"])
+
+
+def test_collection_jobs_read_columns_by_position(tables):
+    registry = tables(tb_user_collect=[
+        (i, user, 0, code, DAY) for i, (user, code) in enumerate(
+            [(1, "R1"), (1, "R1"), (1, "N1"), (2, "F1"), (2, "M1"), (2, "X1"), (None, "R1"), (1, None), (1, "")])])
+    for job, expected in {"A06": [("1", "R1", 2)], "A17": [("1", "N1", 1)], "A23": [("2", "F1", 1)], "A24": [("2", "M1", 1)]}.items():
+        assert rows_of(run_job(registry, job), "user_id", "item_code", "collectionNum") == expected
+    for job, expected in {"B03": [("2", 1)], "B09": [("1", 2)], "B20": [("1", 1)], "B28": [("2", 1)]}.items():
+        assert rows_of(run_job(registry, job), "user_id", *FULL_JOBS[job].fields) == expected
+
+
+def test_restaurant_comments_read_columns_by_position(tables):
+    registry = tables(customer_share=[
+        (i, user, 7, 8, DAY, code) for i, (user, code) in enumerate([(1, "R1"), (1, "R2"), (None, "R1"), (1, None), (1, "N1")])])
+    assert rows_of(run_job(registry, "A07"), "user_id", "item_code", "commentNum") == [("1", "R1", 1), ("1", "R2", 1)]
+    assert rows_of(run_job(registry, "B10"), "user_id", "restCommentNum") == [("1", 2)]
+
+
+def test_visit_jobs(tables):
+    banner, prefix = next(iter(BANNER_URL_PREFIXES.items()))
+    registry = tables(
+        tbd_visit_url=[
+            ("u", ARTICLE_URL_PREFIX + "a1?x=1", DAY), ("u", ARTICLE_URL_PREFIX + "a1", NEXT), ("u", ARTICLE_URL_PREFIX, DAY),
+            ("u", ARTICLE_URL_PREFIX + "a2", DAY), ("v", ARTICLE_URL_PREFIX + "gone", DAY), ("w", ARTICLE_URL_PREFIX + "a3", DAY),
+            (None, ARTICLE_URL_PREFIX + "a1", DAY), ("u", prefix + "?y", DAY), (None, prefix, DAY), ("u", "https://h", DAY), ("u", None, DAY),
+        ],
+        tbd_lettres_favor=[("u", "a1", DAY), ("u", "a1", DAY), (None, "a1", DAY), ("u", None, DAY)],
+        tbd_belles_lettres=[("a1", "十一,家庭出行"), ("a2", "商旅出行学生/背包客人群标签"), ("a3", None)],
+    )
+    assert rows_of(run_job(registry, "A20"), "user_id", "item_code", "browseNum") == [
+        ("u", "a1", 2), ("u", "a2", 1), ("v", "gone", 1), ("w", "a3", 1)]
+    assert rows_of(run_job(registry, "A25"), "user_id", "item_code", "browseNum") == [("u", banner, 1)]
+    assert rows_of(run_job(registry, "A21"), "user_id", "item_code", "favorNum") == [("u", "a1", 2)]
+    assert rows_of(run_job(registry, "B30"), "user_id", "articleBrowseNum") == [("u", 4), ("v", 1), ("w", 1)]
+    assert rows_of(run_job(registry, "B31"), "user_id", "articleFavorNum") == [("u", 2)]
+    assert rows_of(run_job(registry, "B32"), "user_id", "bannerBrowseNum") == [("u", 1)]
+    assert rows_of(run_job(registry, "B01"), "user_id", "business", "student", "eleven", "home", "crowd") == [
+        ("u", 1, 1, 2, 2, 1), ("v", 0, 0, 0, 0, 0)]
+    assert other_visits(registry).count() == 7
+
+
+def test_restaurant_priorities(tables):
+    registry = tables(itd_restaurant=[
+        ("a", "zh-cn", 1, 1, 1), ("b", "zh-cn", 1, 0, 1), ("c", "zh-cn", None, None, 1), ("d", "zh-cn", 2, 0, None),
+        ("e", "en", 1, 1, 1), ("f", None, 1, 1, 1)])
+    assert rows_of(run_job(registry, "A26"), "id", "item_code", "priority") == [("a", "a", 3), ("b", "b", 2), ("c", "c", 1), ("d", "d", 0)]
+
+
+def test_daily_job_adds_a_day_and_can_be_repeated(orders):
+    stored = run_job(orders, "A02", Window(end=AS_OF - dt.timedelta(days=1)))
+    assert stored.count() == 0
+    once = run_daily(orders, "C01", AS_OF, stored)
+    assert rows_of(once, "id", "user_id", "item_code", "consumptionNum") == [("1R1", "1", "R1", 1), (None, "1", None, 1)]
+    assert rows_of(run_daily(orders, "C01", AS_OF, stored), "consumptionNum") == rows_of(once, "consumptionNum")
+    twice = run_daily(orders, "C01", AS_OF + dt.timedelta(days=1), once)
+    assert rows_of(twice, "item_code", "consumptionNum") == rows_of(run_job(orders, "A02"), "item_code", "consumptionNum")

@@ -1,0 +1,102 @@
+"""The profiles agree with the single jobs, and days add up to the whole."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from testbed.standins import registry as standin_registry
+from tests.conftest import SF_TINY, rows_of
+from wayprint.plans.catalog import ITEM_JOBS, LABEL_JOB, USER_JOBS
+from wayprint.plans.facts import FACTS, KEYS, PARTS, Window, sum_parts
+from wayprint.plans.jobs import run_job
+from wayprint.plans.profiles import add_states, build_state, fact_rows, item_documents, user_documents
+from wayprint.plans.store import StateStore
+
+
+@pytest.fixture(scope="module")
+def registry(spark):
+    return standin_registry(spark, SF_TINY)
+
+
+@pytest.fixture(scope="module")
+def state(spark, registry, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("state") / "all")
+    build_state(registry).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def items(state):
+    return item_documents(state).cache()
+
+
+@pytest.fixture(scope="module")
+def users(state, registry):
+    return user_documents(state, registry).cache()
+
+
+@pytest.mark.parametrize("job", [j.id for j in ITEM_JOBS])
+def test_item_documents_hold_each_job(registry, items, job):
+    job = next(j for j in ITEM_JOBS if j.id == job)
+    known = F.coalesce(*[F.col(f).cast("string") for f in job.fields]).isNotNull()
+    columns = ["id", *job.keys, *job.fields]
+    found = rows_of(items.filter((F.col("collection") == job.collection) & known), *columns)
+    assert found and found == rows_of(run_job(registry, job.id), *columns)
+
+
+@pytest.mark.parametrize("job", [LABEL_JOB.id, *[j.id for j in USER_JOBS]])
+def test_user_documents_hold_each_job(registry, users, job):
+    job = next(j for j in [LABEL_JOB, *USER_JOBS] if j.id == job)
+    known = F.coalesce(*[F.col(f).cast("string") for f in job.fields]).isNotNull()
+    columns = ["id", "user_id", *job.fields]
+    found = rows_of(users.filter(known), *columns)
+    assert found and found == rows_of(run_job(registry, job.id), *columns)
+
+
+def test_one_document_per_key(items, users):
+    assert items.groupBy("collection", "user_id", "item_code").count().filter("count > 1").count() == 0
+    assert users.groupBy("user_id").count().filter("count > 1").count() == 0
+
+
+def test_unsummed_rows_give_the_same_user_documents(registry, users):
+    articles = FACTS["visits"].rows(registry, subjects=["article"]).filter("itemized")
+    direct = user_documents(fact_rows(registry), registry, browsed=sum_parts(articles, ["user_id", "item_code"]))
+    assert rows_of(direct.select(*users.columns), *users.columns) == rows_of(users, *users.columns)
+
+
+def test_item_counts_add_up_to_user_counts(items, users):
+    per_item = items.filter("collection = 'userrest'").groupBy("user_id").agg(F.sum("consumptionNum").alias("n")).filter("n is not null")
+    assert rows_of(per_item, "user_id", "n") == rows_of(users.filter("restConsumptionNum is not null"), "user_id", "restConsumptionNum")
+
+
+@pytest.mark.parametrize("first,last", [(dt.date(1998, 6, 1), dt.date(1998, 6, 5)), (dt.date(2024, 1, 14), dt.date(2024, 1, 17))])
+def test_base_and_days_equal_the_whole(spark, registry, tmp_path, first, last):
+    store = StateStore(spark, str(tmp_path))
+    store.write_base(registry, first)
+    days = [first + dt.timedelta(days=i + 1) for i in range((last - first).days)]
+    for as_of in reversed(days):
+        store.write_day(registry, as_of)
+    store.write_day(registry, days[0])          # a repeated day replaces itself
+    whole = rows_of(build_state(registry, Window(end=last)), *KEYS, *PARTS)
+    assert rows_of(store.read(first, last), *KEYS, *PARTS) == whole
+    store.compact(first, days[1])
+    assert rows_of(store.read(days[1], last), *KEYS, *PARTS) == whole
+    assert rows_of(store.read(last - dt.timedelta(days=last.toordinal() - first.toordinal())), *KEYS, *PARTS) != whole
+    with pytest.raises(ValueError):
+        store.compact(first, first)
+
+
+def test_states_add_in_any_order(registry):
+    cut = dt.date(1998, 6, 1)
+    old, new = build_state(registry, Window(end=cut)), build_state(registry, Window(start=cut))
+    expected = rows_of(build_state(registry), *KEYS, *PARTS)
+    assert rows_of(add_states(old, new), *KEYS, *PARTS) == expected
+    assert rows_of(add_states(new, old), *KEYS, *PARTS) == expected
+
+
+def test_documents_are_written_by_collection(spark, items, tmp_path):
+    path = StateStore(spark, str(tmp_path)).write_documents(items, "items", dt.date(2024, 1, 15))
+    stored = spark.read.parquet(path)
+    assert stored.count() == items.count()
+    assert {r[0] for r in stored.select("collection").distinct().collect()} == {j.collection for j in ITEM_JOBS}
