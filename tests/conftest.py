@@ -1,5 +1,6 @@
 import os
 import sys
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import SparkSession
@@ -46,6 +47,8 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "100000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -63,6 +66,18 @@ def tables(spark):
     return make
 
 
+@contextmanager
+def settings(spark, values):
+    """Session settings for the length of a block."""
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k in values:
+            spark.conf.unset(k)
+
+
 def rows_of(df, *columns):
     """Rows as sorted tuples."""
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
