@@ -32,40 +32,45 @@ USER_ITEM = ["user_id", "item_code"]
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines with the user of their order."""
-    lines = load("lineitem", spark, sf).withColumn("item_code", F.col("l_partkey").cast("string"))
-    orders = load("orders", spark, sf).select("o_orderkey", F.col("o_custkey").cast("string").alias("user_id"))
+    lines = load("lineitem", spark, sf).withColumn("item_code", F.col("l_partkey"))
+    orders = load("orders", spark, sf).select("o_orderkey", F.col("o_custkey").alias("user_id"))
     return attach(lines, orders, {"l_orderkey": "o_orderkey"}, require=["user_id"])
 
 
+def text_keys(df: DataFrame) -> DataFrame:
+    """Key columns as text, once per group and not per row."""
+    return df.withColumns({k: F.col(k).cast("string") for k in USER_ITEM if k in df.columns})
+
+
 def p_count(spark, sf):
-    return count_by(order_lines(spark, sf), USER_ITEM, "consumption_num")
+    return text_keys(count_by(order_lines(spark, sf), USER_ITEM, "consumption_num"))
 
 
 def p_avg(spark, sf):
-    return mean_by(order_lines(spark, sf), USER_ITEM, "l_extendedprice", "average_order_amount")
+    return text_keys(mean_by(order_lines(spark, sf), USER_ITEM, "l_extendedprice", "average_order_amount"))
 
 
 def p_avg_count(spark, sf):
-    return mean_and_count_by(order_lines(spark, sf), USER_ITEM, "l_extendedprice", "average_order_amount", "consumption_num")
+    return text_keys(mean_and_count_by(order_lines(spark, sf), USER_ITEM, "l_extendedprice", "average_order_amount", "consumption_num"))
 
 
 def p_sum(spark, sf):
     lines = order_lines(spark, sf).filter(has_prefix("l_returnflag", "N"))
     people = lines.withColumn("people", F.col("l_quantity").cast("bigint"))
-    return sum_by(people, ["user_id"], "people", "people_consumption")
+    return text_keys(sum_by(people, ["user_id"], "people", "people_consumption"))
 
 
 def p_flag(spark, sf):
-    return repeat_flag_by(order_lines(spark, sf), USER_ITEM, "multitime_consumption")
+    return text_keys(repeat_flag_by(order_lines(spark, sf), USER_ITEM, "multitime_consumption"))
 
 
 def p_intavg(spark, sf):
-    return integer_mean_by(order_lines(spark, sf), ["user_id"], "l_quantity", "average_order_amount")
+    return text_keys(integer_mean_by(order_lines(spark, sf), ["user_id"], "l_quantity", "average_order_amount"))
 
 
 def p_having(spark, sf):
-    return count_by(order_lines(spark, sf).dropna(subset=["user_id", "l_extendedprice"]), ["user_id"],
-                    "consumption_num", having="consumption_num <> 0")
+    return text_keys(count_by(order_lines(spark, sf).dropna(subset=["user_id", "l_extendedprice"]), ["user_id"],
+                    "consumption_num", having="consumption_num <> 0"))
 
 
 def p_count3(spark, sf):
@@ -73,13 +78,13 @@ def p_count3(spark, sf):
     orders = attach(load("orders", spark, sf), customers.withColumn("known", F.lit(True)), {"o_custkey": "c_custkey"})
     orders = orders.filter("known").withColumnRenamed("o_orderkey", "order_no").select("order_no", "o_custkey")
     lines = attach(load("lineitem", spark, sf), orders, {"l_orderkey": "order_no"}, require=["o_custkey"])
-    return count_by(lines.withColumn("user_id", F.col("o_custkey").cast("string")), ["user_id"], "usage_counter")
+    return text_keys(count_by(lines.withColumnRenamed("o_custkey", "user_id"), ["user_id"], "usage_counter"))
 
 
 def p_cross(spark, sf):
     orders = load("orders", spark, sf).select(
-        F.col("o_custkey").cast("string").alias("user_id"), F.col("o_orderpriority").alias("item_code"))
-    return paired_count_by(load("supplier", spark, sf), orders, USER_ITEM, "usage_counter")
+        F.col("o_custkey").alias("user_id"), F.col("o_orderpriority").alias("item_code"))
+    return text_keys(paired_count_by(load("supplier", spark, sf), orders, USER_ITEM, "usage_counter"))
 
 
 def p_browse(spark, sf):
@@ -123,7 +128,7 @@ def p_labels(spark, sf):
     large = load("part", spark, sf).filter("p_size > 10").select("p_partkey", "p_name")
     named = attach(per_part, large, {"l_partkey": "p_partkey"}).withColumn("p_name", F.coalesce("p_name", F.lit("")))
     words = ["red", "small", "ring"]
-    return named.groupBy("user_id").agg(*[F.sum(label_flag("p_name", w) * F.col("n")).alias(w) for w in words])
+    return text_keys(named.groupBy("user_id").agg(*[F.sum(label_flag("p_name", w) * F.col("n")).alias(w) for w in words]))
 
 
 def p_label_rows(spark, sf):
@@ -143,7 +148,7 @@ def p_pref(spark, sf):
     classes = load("part", spark, sf).select(
         "p_partkey", F.when(F.col("p_size") >= 25, "1").otherwise("0").alias("cls")).filter(present("p_partkey"))
     lines = attach_spread(order_lines(spark, sf), classes, {"l_partkey": "p_partkey"}, spread_by="l_orderkey")
-    return majority_label_by(lines, ["user_id"], "cls", "preference", labels=("large", "small"))
+    return text_keys(majority_label_by(lines, ["user_id"], "cls", "preference", labels=("large", "small")))
 
 
 def p_inc(spark, sf):

@@ -1,5 +1,5 @@
 from wayprint.functions.predicates import (
-    any_prefix, has_prefix, in_window, in_values, not_blank, present, day_window,
+    any_prefix, any_present, has_prefix, in_window, in_values, not_blank, present, day_window,
 )
 from wayprint.functions.extract import (
     document_id, explode_codes, json_field, json_fields, label_flag, prefix_id, split_codes, url_segment,
@@ -7,7 +7,7 @@ from wayprint.functions.extract import (
 from wayprint.functions.numbers import amount_units, mean_of, integer_mean_of, priority_of
 
 __all__ = [
-    "any_prefix", "has_prefix", "in_window", "in_values", "not_blank", "present", "day_window",
+    "any_prefix", "any_present", "has_prefix", "in_window", "in_values", "not_blank", "present", "day_window",
     "document_id", "explode_codes", "json_field", "json_fields", "label_flag", "prefix_id",
     "split_codes", "url_segment", "amount_units", "mean_of", "integer_mean_of", "priority_of",
 ]

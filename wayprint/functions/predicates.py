@@ -17,9 +17,14 @@ def in_values(col: str | Column, values: Iterable[str]) -> Column:
     return _col(col).isin(list(dict.fromkeys(values)))
 
 
-def present(*cols: str | Column) -> Column:
+def present(*cols: str) -> Column:
     """Every listed column is non-null."""
-    return reduce(and_, (_col(c).isNotNull() for c in cols))
+    return F.expr(" and ".join(f"`{c}` is not null" for c in cols))
+
+
+def any_present(*cols: str) -> Column:
+    """At least one listed column is non-null."""
+    return F.expr(" or ".join(f"`{c}` is not null" for c in cols))
 
 
 def has_prefix(col: str | Column, prefix: str) -> Column:

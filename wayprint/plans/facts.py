@@ -116,13 +116,12 @@ def _orders(registry: Registry, window: Window, subjects: frozenset[str], parts:
     if "amount" in rows.columns:
         amount = F.coalesce(amount, F.col("amount"))
     rows = rows.withColumn("amount_sum", amount)
-    ordered = ~F.col("used")
     return (
         rows.filter(~priced_by_header | present("amount_sum"))
         .withColumn("itemized", in_values("subject", ["rest", "parking", "cip"]))
-        .withColumn("amount_n", _one_if(present("amount_sum")))
-        .withColumn("order_n", _one_if(ordered))
-        .withColumn("usage_n", _one_if(F.col("used")))
+        .withColumn("amount_n", _one_if("amount_sum is not null"))
+        .withColumn("order_n", _one_if("not used"))
+        .withColumn("usage_n", _one_if("used"))
     )
 
 
@@ -193,14 +192,14 @@ def _lounges(registry: Registry, window: Window, subjects: frozenset[str], parts
         added.append(visits.filter(present("dragoncode", "loungecode")).select(
             "dragoncode", F.col("loungecode").alias("item_code"),
             amount_units("point").alias("amount_sum"),
-            _one_if(present("point")).alias("amount_n"),
-            F.lit(1).cast("bigint").alias("usage_n"),
+            _one_if("point is not null").alias("amount_n"),
+            F.expr("1L as usage_n"),
             F.when(has_prefix("loungecode", "N"), F.col("personcount")).alias("people_sum"),
         ))
     if "order_n" in parts:
         services = window.filter(registry.table("tb_order_loungeserv"), "create_date")
         services = services.filter(present("dragoncode", "lounge_code")).select("dragoncode", "lounge_code")
-        added.append(explode_codes(services, "lounge_code", "item_code").withColumn("order_n", F.lit(1).cast("bigint")))
+        added.append(explode_codes(services, "lounge_code", "item_code").withColumn("order_n", F.expr("1L")))
     per_card = sum_parts(_union(added), ["dragoncode", "item_code"])
     return attach(per_card, registry.table("tb_bindrecord"), {"dragoncode": "dragoncode"}, require=["user_id"]).select(
         F.lit("lounge").alias("subject"), F.lit(True).alias("itemized"), "user_id", "item_code",
@@ -228,7 +227,7 @@ def _browses(registry: Registry, window: Window, subjects: frozenset[str], parts
         .withColumn("item_code", item)
         .withColumn("itemized", not_blank("item_code"))
         .withColumn("item_code", F.when(F.col("itemized"), F.col("item_code")))
-        .withColumn("browse_n", F.lit(1).cast("bigint"))
+        .withColumn("browse_n", F.expr("1L"))
     )
 
 
@@ -239,7 +238,7 @@ def _collections(registry: Registry, window: Window, subjects: frozenset[str], p
     return (
         collects.filter(any_prefix("code", letters)).filter(present("user_id"))
         .select(prefix_subject("code", letters).alias("subject"), F.lit(True).alias("itemized"),
-                "user_id", F.col("code").alias("item_code"), F.lit(1).cast("bigint").alias("collection_n"))
+                "user_id", F.col("code").alias("item_code"), F.expr("1L as collection_n"))
     )
 
 
@@ -254,7 +253,7 @@ def _comments(registry: Registry, window: Window, subjects: frozenset[str], part
     return _union([
         window.filter(df, "create_time").filter(has_prefix("code", letter) & present("user_id"))
         .select(F.lit(subject).alias("subject"), F.lit(True).alias("itemized"),
-                "user_id", F.col("code").alias("item_code"), F.lit(1).cast("bigint").alias("comment_n"))
+                "user_id", F.col("code").alias("item_code"), F.expr("1L as comment_n"))
         for subject, letter, df in found
     ])
 
@@ -278,7 +277,7 @@ def _visits(registry: Registry, window: Window, subjects: frozenset[str], parts:
         )
         .withColumn("itemized", not_blank("item_code"))
         .withColumn("item_code", F.when(F.col("itemized"), F.col("item_code")))
-        .withColumn("browse_n", F.lit(1).cast("bigint"))
+        .withColumn("browse_n", F.expr("1L"))
     )
 
 
@@ -286,7 +285,7 @@ def _favors(registry: Registry, window: Window, subjects: frozenset[str], parts:
     favors = window.filter(registry.table("tbd_lettres_favor"), "create_time")
     return favors.filter(present("user_id", "lettres_id")).select(
         F.lit("article").alias("subject"), F.lit(True).alias("itemized"),
-        "user_id", F.col("lettres_id").alias("item_code"), F.lit(1).cast("bigint").alias("favor_n"),
+        "user_id", F.col("lettres_id").alias("item_code"), F.expr("1L as favor_n"),
     )
 
 
@@ -308,13 +307,13 @@ FACTS = {
 
 
 def no_part(part: str) -> Column:
-    return F.lit(None).cast("bigint").alias(part)
+    return F.expr(f"cast(null as bigint) as {part}")
 
 
 def sum_parts(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Parts added up per key; a part no row has stays null."""
     parts = [p for p in PARTS if p in df.columns]
-    return df.groupBy(*keys).agg(*[F.sum(p).alias(p) for p in parts])
+    return df.groupBy(*keys).agg(*[F.expr(f"sum({p}) as {p}") for p in parts])
 
 
 def other_visits(registry: Registry, window: Window = Window()) -> DataFrame:
@@ -338,8 +337,8 @@ def prefix_subject(col: str, letters: dict[str, str]) -> Column:
     return case
 
 
-def _one_if(condition: Column) -> Column:
-    return F.when(condition, F.lit(1).cast("bigint"))
+def _one_if(condition: str) -> Column:
+    return F.expr(f"if({condition}, 1L, null)")
 
 
 def _union(dfs: list[DataFrame]) -> DataFrame:

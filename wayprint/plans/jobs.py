@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from wayprint.constants import ARTICLE_LABELS, PRIORITY_FLAGS, RESTAURANT_LANGUAGE
-from wayprint.functions import document_id, label_flag, present, priority_of
+from wayprint.functions import any_present, document_id, label_flag, present, priority_of
 from wayprint.operators import apply_increment, attach
 from wayprint.plans.catalog import DAILY_JOBS, FULL_JOBS, Job
 from wayprint.plans.facts import FACTS, Window, sum_parts
@@ -73,9 +73,9 @@ def _values(registry: Registry, job: Job, window: Window) -> DataFrame:
     rows = _job_rows(registry, job, job.parts, window)
     if job.level == "item":
         rows = rows.filter("itemized")
-    rows = rows.filter(F.coalesce(*job.parts).isNotNull())
+    rows = rows.filter(any_present(*job.parts))
     values = sum_parts(rows, job.keys).select(*job.keys, *[v.column().alias(f) for f, v in job.fields.items()])
-    return values.filter(F.coalesce(*[F.col(f).cast("string") for f in job.fields]).isNotNull())
+    return values.filter(any_present(*job.fields))
 
 
 def _with_id(values: DataFrame, job: Job) -> DataFrame:

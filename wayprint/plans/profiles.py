@@ -13,9 +13,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wayprint.functions import document_id
+from wayprint.functions import any_present, document_id, in_values
 from wayprint.operators import attach
-from wayprint.plans.catalog import ITEM_JOBS, USER_JOBS
+from wayprint.plans.catalog import ITEM_JOBS, USER_JOBS, Value
 from wayprint.plans.facts import FACTS, KEYS, PARTS, Window, no_part, sum_parts
 from wayprint.plans.jobs import article_label_sums
 from wayprint.sources import Registry
@@ -46,16 +46,15 @@ def item_documents(state: DataFrame) -> DataFrame:
 
     A field its collection does not have is null.
     """
-    fields: dict[str, Column] = {}
-    for job in ITEM_JOBS:
-        for field, value in job.fields.items():
-            found = F.when(F.col("subject") == job.subject, value.column())
-            fields[field] = F.coalesce(fields[field], found) if field in fields else found
+    fields = {
+        field: F.when(in_values("subject", subjects), value.column())
+        for (field, value), subjects in _subjects_by_field().items()
+    }
     documents = state.filter("itemized").select(
         F.concat(F.lit("user"), "subject").alias("collection"), document_id("user_id", "item_code").alias("id"),
         "user_id", "item_code", *[c.alias(f) for f, c in fields.items()],
     )
-    return documents.filter(_any_present(fields))
+    return documents.filter(any_present(*fields))
 
 
 def user_documents(
@@ -87,12 +86,16 @@ def user_documents(
         labels = article_label_sums(browsed, registry)
         documents = attach(documents, labels, {"user_id": "user_id"})
         names += [c for c in labels.columns if c != "user_id"]
-    return documents.filter(_any_present(names))
+    return documents.filter(any_present(*names))
 
 
-def _named(subject: str) -> Callable[[str], Column]:
-    return lambda part: F.col(f"{subject}_{part}")
+def _subjects_by_field() -> dict[tuple[str, Value], list[str]]:
+    found: dict[tuple[str, Value], list[str]] = {}
+    for job in ITEM_JOBS:
+        for field, value in job.fields.items():
+            found.setdefault((field, value), []).append(job.subject)
+    return found
 
 
-def _any_present(fields: Iterable[str]) -> Column:
-    return F.coalesce(*[F.col(f).cast("string") for f in fields]).isNotNull()
+def _named(subject: str) -> Callable[[str], Column]:
+    return lambda part: F.col(f"{subject}_{part}")

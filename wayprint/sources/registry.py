@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from wayprint.sources.schemas import COLUMNS, DATABASE, POSITIONS
 
@@ -63,18 +63,19 @@ class Registry:
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             raw = self._databases[DATABASE[name]](self.spark, name)
-            self._tables[name] = raw.select(*[
-                _source_column(raw, name, column, kind) for column, kind in COLUMNS[name].items()
+            types = {field.name: field.dataType.simpleString() for field in raw.schema}
+            self._tables[name] = raw.selectExpr(*[
+                _source_column(types, name, column, kind) for column, kind in COLUMNS[name].items()
             ])
         return self._tables[name]
 
 
-def _source_column(raw: DataFrame, table: str, column: str, kind: str | None) -> Column:
+def _source_column(types: dict[str, str], table: str, column: str, kind: str | None) -> str:
     source = column
     position = POSITIONS.get(table, {}).get(column)
-    if position is not None and column not in raw.columns:
-        source = raw.columns[position]
-    value = F.col(f"`{source}`")
-    if kind is not None and raw.schema[source].dataType.simpleString() != kind:
-        value = value.cast(kind)
-    return value.alias(column)
+    if position is not None and column not in types:
+        source = list(types)[position]
+    value = f"`{source}`"
+    if kind is not None and types.get(source) != kind:
+        value = f"cast({value} as {kind})"
+    return f"{value} as `{column}`"
