@@ -301,6 +301,12 @@ PATTERNS = {
         f"\nSELECT url, count(*) AS rejected FROM (SELECT url, {_json('userId')} AS user_id FROM tbd_url_element "
         f"WHERE url IN ({', '.join(repr(u) for urls in BROWSE_URLS.values() for u in urls)})) "
         "WHERE user_id IS NULL OR user_id = '' GROUP BY url",
+    "e02_table_counts": with_sources("tbd_app_opera_path", "tb_order", "tb_user") +
+        "\nSELECT (SELECT count(*) FROM tbd_app_opera_path) AS operations_num, (SELECT count(*) FROM tb_order) AS orders_num, "
+        "(SELECT count(DISTINCT id) FROM tb_user) AS users_num",
+    "e01_document_query": with_sources("user_flight") +
+        "\nSELECT 'userID:' || coalesce(json_extract_string(doc, '$.userId'), 'null') || '|isStop:' || "
+        "coalesce(json_extract_string(doc, '$.isStop'), 'null') AS line FROM user_flight WHERE json_valid(doc)",
     "other_visits": with_sources("tbd_visit_url") +
         "\nSELECT user_id, count(*) AS browse_num FROM tbd_visit_url "
         f"WHERE user_id IS NOT NULL AND url IS NOT NULL AND {_BANNER_CASE} IS NULL GROUP BY user_id",

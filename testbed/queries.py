@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from testbed import oracles
 from testbed.oracles import PAGE_PREFIXES
-from testbed.standins import load, registry
+from testbed.standins import DOCUMENTS, load, registry
 from wayprint.functions import (
     any_prefix, document_id, explode_codes, has_prefix, in_values, json_field, label_flag, not_blank,
     prefix_id, present, priority_of, url_segment, day_window, in_window,
@@ -22,7 +22,7 @@ from wayprint.operators import (
 )
 from wayprint.plans.catalog import DAILY_JOBS, FULL_JOBS, ITEM_JOBS, USER_JOBS
 from wayprint.plans.facts import FACTS, Window, sum_parts, other_visits, rejected_page_views
-from wayprint.plans.jobs import run_daily, run_job
+from wayprint.plans.jobs import run_daily, run_job, table_counts
 from wayprint.plans.profiles import build_state, fact_rows, item_documents, user_documents
 from wayprint.sources import documents_table, format_row, query_documents
 
@@ -190,6 +190,16 @@ def p_infer(spark, sf):
     return query_documents(documents, "document", "SELECT k FROM document").select(format_row(k="k").alias("line"))
 
 
+def e01_document_query(spark, sf):
+    stored = load(DOCUMENTS.base, spark, sf).selectExpr(f"{DOCUMENTS.columns['doc']} AS doc")
+    users = query_documents(documents_table(stored, "doc"), "user", "select userId, isStop from user")
+    return users.select(format_row(userID="userId", isStop="isStop").alias("line"))
+
+
+def e02_table_counts(spark, sf):
+    return table_counts(registry(spark, sf))
+
+
 def item_profiles(spark, sf):
     return item_documents(build_state(registry(spark, sf)))
 
@@ -240,6 +250,7 @@ def all_queries() -> dict[str, Query]:
     found = dict(PATTERNS)
     found.update({_name(j): _job(j) for j in FULL_JOBS})
     found.update({_name(j, True): _daily(j) for j in DAILY_JOBS})
+    found.update({q.__name__: q for q in (e01_document_query, e02_table_counts)})
     found["item_profiles"] = item_profiles
     found["user_profiles"] = user_profiles
     found["rejected_page_views"] = lambda spark, sf: rejected_page_views(registry(spark, sf))

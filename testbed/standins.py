@@ -159,7 +159,14 @@ def registry(spark: SparkSession, sf_dir: str) -> Registry:
 
 def with_sources(*names: str) -> str:
     """WITH clause that defines the named source tables in SQL."""
-    return "WITH " + ",\n".join(f"{n} AS ({STANDINS[n].sql()})" for n in names)
+    known = {**STANDINS, "user_flight": DOCUMENTS}
+    return "WITH " + ",\n".join(f"{n} AS ({known[n].sql()})" for n in names)
 
 
+# Stored documents, as JSON text; the second field is missing from some.
+DOCUMENTS = StandIn("events", {
+    "doc": f"""concat('{{"userId":', CASE WHEN event_type = 'error' THEN 'null' ELSE {_TEXT_USER} END,
+        CASE WHEN event_id % 4 = 3 THEN '' ELSE concat(',"isStop":', CASE WHEN value > 2 THEN 'true' ELSE 'false' END) END, '}}')""",
+})
+
 assert set(STANDINS) == set(COLUMNS)

@@ -100,6 +100,11 @@ def test_day_window_of_local_times_and_dates(spark):
     days = df.select("t", F.to_date("at").alias("at"))
     assert rows_of(days.filter(day_window(days, "at", dt.date(2024, 1, 15))), "t") == [(at[1],), (at[2],)]
     assert days.filter(in_window(days, "at")).count() == 4
+    dated = days.unionByName(days.limit(1).selectExpr("'none' as t", "cast(null as date) as at"))
+    first, second = dt.date(2024, 1, 14), dt.date(2024, 1, 15)
+    spans = [(None, first), (first, second), (second, None)]
+    found = [r.t for s, e in spans for r in dated.filter(in_window(dated, "at", s, e)).collect()]
+    assert sorted(found) == sorted([*at, "none"])
     with pytest.raises(TypeError):
         day_window(df, "t", dt.date(2024, 1, 15))
 

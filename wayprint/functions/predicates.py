@@ -49,6 +49,9 @@ def in_window(
 ) -> Column:
     """``start <= column < end`` in whole days of ``zone``; a missing bound is open.
 
+    Rows without a time belong to every span with an open start and to no other,
+    so a base of "everything before" and the days after it cover each row once.
+
     An instant column is compared with the instants of local midnight, a
     zone-less timestamp with local midnight itself, and a date with the date.
     Bounds fold to literals, so the filter can be pushed to the scan.
@@ -58,7 +61,8 @@ def in_window(
     if start is not None:
         conditions.append(F.col(column) >= _midnight(start, kind, zone))
     if end is not None:
-        conditions.append(F.col(column) < _midnight(end, kind, zone))
+        before = F.col(column) < _midnight(end, kind, zone)
+        conditions.append(before if start is not None else before | F.col(column).isNull())
     return reduce(and_, conditions, F.lit(True))
 
 

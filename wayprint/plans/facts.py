@@ -80,9 +80,9 @@ class Fact:
 def _orders(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str]) -> DataFrame:
     """Order lines of all products, joined with the order header once.
 
-    Restaurant and parking lines carry their own time. The other products are
-    dated by the header, so their windowed rows come from a join of their own
-    in which the filter reaches the header scan.
+    Restaurant and parking lines carry their own time; the other products are
+    dated by the header. For a span with a start, such as a day, these come from
+    a join of their own, in which the filter reaches the header scan.
     """
     own_time, header_time = [], []
     if "rest" in subjects and parts & {"amount_sum", "amount_n", "order_n", "class_sum", "class_n"}:
@@ -102,14 +102,16 @@ def _orders(registry: Registry, window: Window, subjects: frozenset[str], parts:
         header_time.append(_lines(registry.table("tb_order_limousine"), "car", "order_no"))
 
     header = registry.table("tb_order")
-    if window == Window():
-        joins = [(own_time + header_time, header)]
+    if window.start is None:
+        rows = _with_header(own_time + header_time, header)
+        if window.end is not None:
+            in_span = in_window(rows, "cdate", end=window.end, zone=window.zone)
+            rows = rows.filter(~in_values("subject", ["cip", "vvip", "car"]) | in_span)
     else:
-        joins = [(own_time, header), (header_time, window.filter(header, "cdate"))]
-    rows = _union([
-        attach(_union(lines), head.drop("cdate"), {"order_no": "order_no"}, require=["user_id"])
-        for lines, head in joins if lines
-    ])
+        rows = _union([
+            _with_header(lines, head)
+            for lines, head in [(own_time, header), (header_time, window.filter(header, "cdate"))] if lines
+        ])
 
     priced_by_header = F.col("subject") != "rest"
     amount = F.when(priced_by_header, amount_units("actual_amount"))
@@ -125,6 +127,10 @@ def _orders(registry: Registry, window: Window, subjects: frozenset[str], parts:
     )
 
 
+def _with_header(lines: list[DataFrame], header: DataFrame) -> DataFrame:
+    return attach(_union(lines), header, {"order_no": "order_no"}, require=["user_id"])
+
+
 def _restaurant_lines(registry: Registry, window: Window, parts: frozenset[str]) -> DataFrame:
     lines = window.filter(registry.table("restaurant_order_detail2"), "ordertime")
     if parts & {"class_sum", "class_n"}:
@@ -161,17 +167,19 @@ def _lines(
 def _transfer_records(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str]) -> DataFrame:
     """Uses of airport transfers: record, product order and header, all by order number.
 
-    Records are counted per order, and products per order and code, before they
-    meet: an order with many of both is not multiplied out.
+    Records are counted per order before they meet the products, so an order with
+    many of both is not multiplied out. Over a full history, products are counted
+    per order and code as well; the records of some days are few beside them.
     """
     records = (
         window.filter(registry.table("tb_order_cip_record"), "create_time")
         .filter(present("order_no")).groupBy("order_no").agg(F.count(F.lit(1)).alias("records"))
     )
-    products = (
-        registry.table("tb_order_cip").filter(present("order_no", "pro_code"))
-        .groupBy("order_no", "pro_code").agg(F.count(F.lit(1)).alias("products"))
-    )
+    products = registry.table("tb_order_cip").filter(present("order_no", "pro_code"))
+    if window.start is None:
+        products = products.groupBy("order_no", "pro_code").agg(F.count(F.lit(1)).alias("products"))
+    else:
+        products = products.withColumn("products", F.expr("1L"))
     header = registry.table("tb_order").select("order_no", "user_id")
     used = attach(records, products, {"order_no": "order_no"}, require=["pro_code"])
     return attach(used, header, {"order_no": "order_no"}, require=["user_id"]).select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wayprint.constants import ARTICLE_LABELS, PRIORITY_FLAGS, RESTAURANT_LANGUAGE
 from wayprint.functions import any_present, document_id, label_flag, present, priority_of
-from wayprint.operators import apply_increment, attach
+from wayprint.operators import apply_increment, attach, distinct_total, total
 from wayprint.plans.catalog import DAILY_JOBS, FULL_JOBS, Job
 from wayprint.plans.facts import FACTS, Window, sum_parts
 from wayprint.sources import Registry
@@ -47,6 +47,14 @@ def restaurant_priorities(registry: Registry) -> DataFrame:
     )
 
 
+def table_counts(registry: Registry) -> DataFrame:
+    """Rows of the operation log and of the orders, and the number of users."""
+    operations = total(registry.table("tbd_app_opera_path"), "operations_num")
+    orders = total(registry.table("tb_order"), "orders_num").scalar()
+    users = distinct_total(registry.table("tb_user"), "id", "users_num").scalar()
+    return operations.select("operations_num", orders.alias("orders_num"), users.alias("users_num"))
+
+
 def article_label_sums(browsed: DataFrame, registry: Registry) -> DataFrame:
     """Per user, how many article views carried each label.
 
