@@ -61,7 +61,7 @@ def headline() -> dict:
 
 def main() -> None:
     sf, cpus = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = session(cpus)
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
