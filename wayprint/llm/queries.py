@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayprint.llm import byte_bpe, oracles, packing
+from wayprint.llm import byte_bpe, chat, fingerprints, lm_scoring, oracles, packing, quality_classifier, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,14 +20,39 @@ def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one, -7, whose texts look like control strings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hostile = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("\\### Assistant: </turn> ok").alias("text"))
+    return chat.digests(chat.examples(turns.unionByName(hostile)))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.digest_texts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(quality_rules.ledger(table(spark, sf_dir, "documents")))
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {name: found for name, found in globals().copy().items() if name.startswith("op") and name[2].isdigit()}
 ORACLES: dict[str, str] = oracles.SQL

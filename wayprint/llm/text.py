@@ -7,6 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -19,7 +20,7 @@ LOWER[ord("A"):ord("Z") + 1] += 32
 
 def slices(column: pa.Array, most_bytes: int = 1 << 21) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``most_bytes`` of text each; a longer text is a range of its own."""
-    sizes = np.asarray(pa.compute.binary_length(column).fill_null(0), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(column).fill_null(0), dtype=np.int64)
     start, total = 0, 0
     for row, size in enumerate(sizes.tolist()):
         if total and total + size > most_bytes:
