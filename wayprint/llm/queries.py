@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayprint.llm import byte_bpe, chat, fingerprints, lm_scoring, near_dedup, oracles, packing, quality_classifier, quality_rules
+from wayprint.llm import byte_bpe, chat, fingerprints, lm_scoring, near_dedup, oracles, packing, quality_classifier, quality_rules, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(quality_rules.ledger(table(spark, sf_dir, "documents")))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest_repeats(table(spark, sf_dir, "documents"), length=50)
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
