@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayprint.llm import byte_bpe, chat, fingerprints, lm_scoring, near_dedup, oracles, packing, quality_classifier, quality_rules, suffix_dedup
+from wayprint.llm import byte_bpe, chat, fingerprints, line_dedup, lm_scoring, near_dedup, oracles, packing, quality_classifier, quality_rules, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(quality_rules.ledger(table(spark, sf_dir, "documents")))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_lines, n_removed, text`` of every document; text is what stays."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", F.col("__lines").alias("n_lines"), F.col("__gone").alias("n_removed"), "text")
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest_repeats(table(spark, sf_dir, "documents"), length=50)
 
