@@ -1,12 +1,14 @@
 import datetime as dt
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from wayprint.constants import BANNER_URL_PREFIXES
 from wayprint.functions import (
-    amount_units, any_prefix, day_window, document_id, explode_codes, in_values, in_window, integer_mean_of,
+    any_prefix, day_window, document_id, exact_amount, explode_codes, in_values, in_window, integer_mean_of,
     json_field, json_fields, label_flag, mean_of, not_blank, prefix_id, present, priority_of, url_segment,
 )
 
@@ -120,20 +122,26 @@ def test_amounts_add_exactly_in_any_order(spark):
     totals = set()
     for order in (values, sorted(values), values[::-1]):
         df = spark.createDataFrame([(v,) for v in order], "v double").repartition(7)
-        totals.add(df.agg(mean_of(F.sum(amount_units("v")), F.count("v"))).first()[0])
+        totals.add(df.agg(mean_of(F.sum(exact_amount("v")), F.count("v"))).first()[0])
     assert totals == {65.0 / 300}
 
 
-@pytest.mark.parametrize("text,units", [("1", 10000), ("0.29", 2900), ("n/a", None), (None, None), ("NaN", None), ("-2.5", -25000)])
-def test_amount_units(spark, text, units):
+@pytest.mark.parametrize("text,amount", [
+    ("1", "1"), ("0.29", "0.29"), ("n/a", None), (None, None), ("-2.5", "-2.5"), ("0.49996", "0.49996"), ("1e15", "1e15")])
+def test_exact_amount(spark, text, amount):
     df = spark.createDataFrame([(text,)], "v string")
-    assert df.select(amount_units("v")).first()[0] == units
+    assert df.select(exact_amount("v")).first()[0] == (None if amount is None else Decimal(amount))
+
+
+def test_an_amount_beyond_the_type_is_an_error(spark):
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|NUMERIC_OUT_OF"):
+        spark.createDataFrame([(1e25,)], "v double").select(exact_amount("v")).collect()
 
 
-@pytest.mark.parametrize("amounts,expected", [([1.9, 1.9, 1.9], 1), ([10.0, 3.0], 6), ([-7.0, 0.0], -3), ([2.99], 2)])
+@pytest.mark.parametrize("amounts,expected", [([1.9, 1.9, 1.9], 1), ([10.0, 3.0], 6), ([-7.0, 0.0], -3), ([2.99], 2), ([1.99999], 1), ([9e14, 9e14], 900000000000000)])
 def test_integer_means_truncate_twice(spark, amounts, expected):
     df = spark.createDataFrame([(a,) for a in amounts], "v double")
-    assert df.agg(integer_mean_of(F.sum(amount_units("v")), F.count("v"))).first()[0] == expected
+    assert df.agg(integer_mean_of(F.sum(exact_amount("v")), F.count("v"))).first()[0] == expected
 
 
 def test_priority_takes_the_first_flag(spark):

@@ -4,7 +4,7 @@ import pytest
 
 from tests.conftest import TABLES, rows_of
 from wayprint.sources import (
-    Registry, Split, documents_table, first_document_fields, format_row, frames, jdbc_database, parquet_directory,
+    ONE_TASK, Registry, Split, documents_table, document_fields, format_row, frames, jdbc_database, parquet_directory,
     query_documents, read_documents,
 )
 from wayprint.sources.schemas import COLUMNS, DATABASE
@@ -41,7 +41,7 @@ def test_users_become_text_once(spark):
     assert dict(registry.table("tb_bindrecord").dtypes)["user_id"] == "string"
 
 
-@pytest.mark.parametrize("split", [None, Split("id", 1, 1000, 16)])
+@pytest.mark.parametrize("split", [ONE_TASK, ["k < 'm'", "k >= 'm' or k is null"], Split("id", 1, 1000, 16)])
 def test_database_tables_are_read_in_ranges(split):
     calls = []
 
@@ -52,11 +52,16 @@ def test_database_tables_are_read_in_ranges(split):
     class Session:
         read = Reader()
 
-    jdbc_database("jdbc:x", {"user": "u"}, {"t": split} if split else None)(Session(), "t")
+    load = jdbc_database("jdbc:x", {"user": "u"}, {"t": split})
+    load(Session(), "t")
     expected = {"properties": {"user": "u"}}
-    if split:
+    if isinstance(split, list):
+        expected["predicates"] = split
+    if isinstance(split, Split):
         expected |= {"column": "id", "lowerBound": 1, "upperBound": 1000, "numPartitions": 16}
     assert calls == [(("jdbc:x", "t"), expected)]
+    with pytest.raises(ValueError):
+        load(Session(), "other")
 
 
 def test_documents_by_name_not_by_position(spark, tmp_path):
@@ -65,13 +70,13 @@ def test_documents_by_name_not_by_position(spark, tmp_path):
     path.write_text("\n".join(json.dumps(d) for d in documents))
     stored = read_documents(spark, str(path))
     assert dict(stored.dtypes)["userId"] == "string"
-    found = query_documents(stored, "user", "select userId, isStop from user")
+    found = query_documents(stored, "select userId, isStop from {documents}")
     assert {r[0] for r in found.select(format_row(userID="userId", isStop="isStop")).collect()} == {
         "userID:1|isStop:false", "userID:2|isStop:true", "userID:null|isStop:null"}
 
 
 def test_documents_in_a_text_column(spark):
     texts = spark.createDataFrame([(None,), ('{"a":1,"b":"x"}',), ('{"b":"y","c":2}',), ("no json",)], "doc string").coalesce(1)
-    assert first_document_fields(texts, "doc") == ["a", "b"]
-    assert {tuple(r) for r in documents_table(texts, "doc").collect()} == {("1", "x"), (None, "y"), (None, None)}
+    assert document_fields(texts, "doc") == ["a", "b", "c"]
+    assert {tuple(r) for r in documents_table(texts, "doc").collect()} == {("1", "x", None), (None, "y", "2"), (None, None, None)}
     assert documents_table(texts, "doc", ["c"]).columns == ["c"]

@@ -4,10 +4,10 @@ from wayprint.functions.predicates import (
 from wayprint.functions.extract import (
     document_id, explode_codes, json_field, json_fields, label_flag, prefix_id, split_codes, url_segment,
 )
-from wayprint.functions.numbers import amount_units, mean_of, integer_mean_of, priority_of
+from wayprint.functions.numbers import AMOUNT_SUM, exact_amount, integer_mean_of, mean_of, priority_of, reaches
 
 __all__ = [
     "any_prefix", "any_present", "has_prefix", "in_window", "in_values", "not_blank", "present", "day_window",
     "document_id", "explode_codes", "json_field", "json_fields", "label_flag", "prefix_id",
-    "split_codes", "url_segment", "amount_units", "mean_of", "integer_mean_of", "priority_of",
+    "split_codes", "url_segment", "AMOUNT_SUM", "exact_amount", "integer_mean_of", "mean_of", "priority_of", "reaches",
 ]

@@ -3,31 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
-UNITS = 10_000
+# Eight places, as many as the sources carry, and twenty digits before them. The sum of any
+# number of rows has ten digits more.
+AMOUNT = "decimal(28,8)"
+AMOUNT_SUM = "decimal(38,8)"
 
 
-def amount_units(col: str | Column) -> Column:
-    """An amount as a whole number of ten-thousandths.
+def exact_amount(col: str | Column) -> Column:
+    """An amount as an exact decimal number.
 
-    Sums of whole numbers do not depend on the order of rows. With doubles, a
-    retried task or a different split of days would change the last digits. A
-    value that is no number becomes null.
+    Sums of such numbers do not depend on the order of rows. With doubles, a
+    retried task or a different split of days would change the last digits. Text
+    that is no number becomes null; a number too large for ``AMOUNT`` is an error,
+    so that no amount is dropped without notice.
     """
-    return F.rint(_col(col).try_cast("double") * UNITS).try_cast("bigint")
+    value = _col(col)
+    is_number = value.try_cast("double").isNotNull()
+    return F.when(is_number, value.cast("double").cast(AMOUNT))
 
 
-def mean_of(units: str | Column, n: str | Column) -> Column:
-    """Mean of amounts from the sum of their units; null when there are none."""
-    return F.try_divide(_col(units) / F.lit(float(UNITS)), _col(n).cast("double"))
+def mean_of(total: str | Column, n: str | Column) -> Column:
+    """Mean of amounts from their sum; null when there are none."""
+    return F.try_divide(_col(total).cast("double"), _col(n).cast("double"))
 
 
-def integer_mean_of(units: str | Column, n: str | Column) -> Column:
+def integer_mean_of(total: str | Column, n: str | Column) -> Column:
     """Truncated sum divided by the count, without a fraction."""
-    whole = F.call_function("div", _col(units), F.lit(UNITS).cast("bigint"))
-    return F.call_function("div", whole, F.nullif(_col(n).cast("bigint"), F.lit(0).cast("bigint")))
+    return F.call_function("div", _col(total).cast("bigint"), F.nullif(_col(n).cast("bigint"), F.lit(0).cast("bigint")))
+
+
+def reaches(total: str | Column, n: str | Column, threshold: float) -> Column:
+    """Whether the mean is at least the threshold, decided on exact numbers."""
+    return _col(total) >= F.lit(Decimal(str(threshold))) * _col(n).cast("decimal(20,0)")
 
 
 def priority_of(flags: Iterable[tuple[str, int]]) -> Column:

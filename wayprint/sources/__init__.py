@@ -1,9 +1,9 @@
 from wayprint.sources.documents import (
-    document_map, documents_table, first_document_fields, format_row, query_documents, read_documents,
+    document_map, documents_table, document_fields, format_row, query_documents, read_documents,
 )
-from wayprint.sources.registry import Registry, Split, frames, jdbc_database, parquet_directory
+from wayprint.sources.registry import ONE_TASK, Registry, Split, frames, jdbc_database, parquet_directory
 
 __all__ = [
-    "document_map", "documents_table", "first_document_fields", "format_row", "query_documents",
-    "read_documents", "Registry", "Split", "frames", "jdbc_database", "parquet_directory",
+    "document_map", "documents_table", "document_fields", "format_row", "query_documents",
+    "read_documents", "ONE_TASK", "Registry", "Split", "frames", "jdbc_database", "parquet_directory",
 ]

@@ -15,27 +15,25 @@ def document_map(col: str | Column) -> Column:
     return F.from_json(col, "map<string,string>")
 
 
-def first_document_fields(df: DataFrame, json_col: str) -> list[str]:
-    """Field names of the first document. Reads one row."""
-    fields = df.select(F.map_keys(document_map(json_col)).alias("fields"))
-    first = fields.filter("fields is not null").first()
-    return list(first["fields"]) if first else []
+def document_fields(df: DataFrame, json_col: str) -> list[str]:
+    """Names of all fields that any document has, in order. What is collected is as wide as the schema."""
+    names = df.select(F.explode(F.map_keys(document_map(json_col))).alias("field")).distinct()
+    return sorted(row.field for row in names.collect())
 
 
 def documents_table(df: DataFrame, json_col: str, fields: list[str] | None = None) -> DataFrame:
     """One text column per field, taken by name; a field a document lacks is null.
 
-    Without ``fields``, those of the first document are used.
+    Without ``fields``, the table has those of all documents, for which it reads them.
     """
-    fields = fields or first_document_fields(df, json_col)
+    fields = document_fields(df, json_col) if fields is None else fields
     doc = document_map(json_col)
     return df.select(doc.alias("_doc")).select(*[F.col("_doc")[f].alias(f) for f in fields])
 
 
-def query_documents(documents: DataFrame, view: str, sql: str) -> DataFrame:
-    """Register the documents under a view name and run a query over it."""
-    documents.createOrReplaceTempView(view)
-    return documents.sparkSession.sql(sql)
+def query_documents(documents: DataFrame, sql: str) -> DataFrame:
+    """Run a query over the documents, which it names ``{documents}``; no view of the session is touched."""
+    return documents.sparkSession.sql(sql, documents=documents)
 
 
 def format_row(**labels: str) -> Column:

@@ -26,14 +26,28 @@ def parquet_directory(path: str, suffix: str = ".parquet") -> Loader:
     return lambda spark, table: spark.read.parquet(f"{path}/{table}{suffix}")
 
 
-def jdbc_database(url: str, properties: Mapping[str, str], splits: Mapping[str, Split] | None = None) -> Loader:
-    """Tables of a database. A table with a split is read by many tasks, others by one."""
-    splits = dict(splits or {})
+# Reads a table by one task; for small tables only.
+ONE_TASK = "one task"
+
+
+def jdbc_database(url: str, properties: Mapping[str, str], splits: Mapping[str, Split | list[str] | str]) -> Loader:
+    """Tables of a database, each read as ``splits`` says.
+
+    A :class:`Split` gives ranges of a numeric or time column. A list of SQL
+    conditions, for tables with text keys, gives a task for each; together they must
+    hold for every row once. ``ONE_TASK`` has to be asked for: a table without an
+    entry is an error, as one task would read all of it.
+    """
+    splits = dict(splits)
 
     def load(spark: SparkSession, table: str) -> DataFrame:
         split = splits.get(table)
         if split is None:
+            raise ValueError(f"no split for {table}: give ranges, conditions or ONE_TASK")
+        if split == ONE_TASK:
             return spark.read.jdbc(url, table, properties=dict(properties))
+        if isinstance(split, list):
+            return spark.read.jdbc(url, table, predicates=split, properties=dict(properties))
         return spark.read.jdbc(
             url, table, column=split.column, lowerBound=split.lower, upperBound=split.upper,
             numPartitions=split.partitions, properties=dict(properties),
