@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tests.conftest import plan_of, rows_of
 from wayprint.operators import (
     apply_increment, attach, attach_spread, count_by, distinct_total, integer_mean_by, label_sums_by,
-    majority_label_by, mean_and_count_by, mean_by, merge_fields, merge_into, paired_count_by, repeat_flag_by,
+    majority_label_by, mean_and_count_by, mean_by, merge_fields, merge_into, only_keys, paired_count_by, prefix_lookup, repeat_flag_by,
     sum_by, total,
 )
 
@@ -107,3 +107,38 @@ def test_null_keys_survive_grouping(spark):
     counted = count_by(df, KEYS, "n")
     assert rows_of(apply_increment(counted, counted, KEYS), *KEYS, "n") == [("u", None, 4)]
     assert counted.filter(F.col("item_code").isNull()).count() == 1
+
+
+def test_means_keep_every_amount(spark):
+    def of(*values, kind="double"):
+        return spark.createDataFrame([("u", v) for v in values], f"user_id string, v {kind}")
+
+    assert mean_by(of(1e15, 1.0), ["user_id"], "v", "m").first().m == (1e15 + 1) / 2
+    assert mean_by(of("n/a", "4", kind="string"), ["user_id"], "v", "m").first().m == 4.0
+    assert integer_mean_by(of(1.99999), ["user_id"], "v", "m").first().m == 1
+    assert majority_label_by(of("0.49996", kind="string"), ["user_id"], "v", "m", ("a", "b")).first().m == "b"
+    assert majority_label_by(of("0", "1", kind="string"), ["user_id"], "v", "m", ("a", "b")).first().m == "a"
+    found = mean_and_count_by(of(None, 2.0, 3.0), ["user_id"], "v", "m", "n").first()
+    assert (found.m, found.n) == (2.5, 2)
+
+
+def test_keys_of_different_types_are_compared_as_text(spark):
+    lines = spark.createDataFrame([("1", "a"), ("x", "b")], "k string, line string")
+    heads = spark.createDataFrame([(1, "u")], "key bigint, user_id string")
+    assert rows_of(attach(lines, heads, {"k": "key"}), "line", "user_id") == [("a", "u"), ("b", None)]
+
+
+def test_only_keys_of_a_span(spark):
+    big = spark.range(1000).selectExpr("cast(id % 100 as string) as k", "id")
+    few = spark.createDataFrame([("3",), ("3",), (None,), ("nowhere",)], "k string")
+    assert only_keys(big, few, "k").count() == only_keys(big, few, "k", most=1).count() == 10
+    assert "BroadcastExchange" in plan_of(only_keys(big, few, "k"))
+
+
+def test_prefixes_from_a_table(spark):
+    prefixes = spark.createDataFrame(
+        [("https://a.com", "a"), ("https://a.com/x/", "ax"), ("https://a.com/x/y", "axy"), ("https://b.com/z", "bz"), (None, "n"), ("no url", "x")], "prefix string, id string")
+    urls = ["https://a.com/x/yes", "https://a.com/q", "https://b.com/q", "https://a.com.evil/x", None, "https://b.com/z?1"]
+    found = prefix_lookup(spark.createDataFrame([(u,) for u in urls], "url string"), "url", prefixes, "hit")
+    assert {r.url: r.hit for r in found.collect()} == dict(zip(urls, ["axy", "a", None, None, None, "bz"]))
+    assert not any(word in plan_of(found) for word in ("NestedLoop", "Cartesian"))

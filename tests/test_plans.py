@@ -10,7 +10,7 @@ from tests.conftest import SF_TINY, TABLES, plan_of, settings
 from wayprint.constants import BROWSE_URLS
 from wayprint.plans.facts import Window
 from wayprint.plans.jobs import run_job
-from wayprint.plans.profiles import build_state, fact_rows, item_documents, user_documents
+from wayprint.plans.profiles import ITEM_PARTS, build_state, fact_rows, item_documents, user_documents
 from wayprint.sources import Registry, parquet_directory
 
 @pytest.fixture
@@ -30,11 +30,10 @@ def stored(spark, tmp_path_factory):
 
 
 def test_no_query_leaves_the_jvm_or_multiplies_tables(spark, no_broadcast):
-    # Daily queries combine the plans of the full ones.
     for name, query in all_queries().items():
-        if "_daily_" in name:
-            continue
         plan = plan_of(query(spark, SF_TINY))
+        if "_daily_" in name:
+            assert "FullOuter" not in plan and "coalesce(user_id" not in plan, name
         for word in ("Python", "ExistingRDD", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas"):
             assert word not in plan, (name, word)
 
@@ -74,6 +73,17 @@ def test_day_of_header_dated_orders_reaches_the_header(stored):
     assert "GreaterThanOrEqual(ordertime" in plan and "GreaterThanOrEqual(cdate" not in plan
 
 
+@pytest.mark.parametrize("job", ["A02", "B24", "B13", "B14"])
+def test_a_day_does_not_shuffle_a_full_table(stored, no_broadcast, job):
+    """A full table is filtered by the day's keys before it is shuffled."""
+    plan = plan_of(run_job(stored, job, Window.day_before(dt.date(2024, 1, 15))))
+    assert "LeftSemi" in plan and "BroadcastHashJoin" in plan, job
+
+
+def test_item_documents_read_no_classes(stored, no_broadcast):
+    assert "restaurant_class" not in plan_of(item_documents(build_state(stored, parts=ITEM_PARTS)))
+
+
 def test_the_state_reads_each_source_once(stored, no_broadcast):
     plan = plan_of(build_state(stored))
     scans = plan.count("FileScan parquet")

@@ -96,7 +96,22 @@ def test_states_add_in_any_order(registry):
 
 
 def test_documents_are_written_by_collection(spark, items, tmp_path):
-    path = StateStore(spark, str(tmp_path)).write_documents(items, "items", dt.date(2024, 1, 15))
+    path = StateStore(spark, str(tmp_path)).write_documents(items, "items")
     stored = spark.read.parquet(path)
     assert stored.count() == items.count()
     assert {r[0] for r in stored.select("collection").distinct().collect()} == {j.collection for j in ITEM_JOBS}
+
+
+def test_an_interrupted_write_leaves_the_version_before(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path))
+    store.write_documents(spark.createDataFrame([("1", 1, "x")], "user_id string, n int, name string"), "users")
+    broken = spark.range(4).selectExpr("cast(id as string) as user_id", "cast(if(id = 3, raise_error('stop'), id) as int) as n")
+    with pytest.raises(Exception, match="stop"):
+        store.merge_documents(broken, "users", ["user_id"])
+    assert rows_of(store.read_documents("users"), "user_id", "n", "name") == [("1", 1, "x")]
+    store.merge_documents(spark.createDataFrame([("1", 5), ("2", 6)], "user_id string, n int"), "users", ["user_id"])
+    assert rows_of(store.read_documents("users"), "user_id", "n", "name") == [("1", 5, "x"), ("2", 6, None)]
+    store.tables.discard_old("documents/users")
+    assert rows_of(store.read_documents("users"), "user_id", "n") == [("1", 5), ("2", 6)]
+    with pytest.raises(FileNotFoundError):
+        store.read_documents("others")

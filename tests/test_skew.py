@@ -63,7 +63,7 @@ def test_one_class_with_a_third_of_the_lines(spark, small_pieces):
     classes = spark.createDataFrame([("hot", "0"), ("hot", "1"), ("1", "1")], TABLES["restaurant_class"])
     registry = _registry(spark, restaurant_order_detail2=lines, tb_order=heads, restaurant_class=classes)
     state = build_state(registry, facts=["orders"])
-    sums = state.selectExpr("sum(order_n)", "sum(class_sum) / 10000", "sum(class_n)").first()
+    sums = state.selectExpr("sum(order_n)", "cast(sum(class_sum) as bigint)", "sum(class_n)").first()
     assert tuple(sums) == (N, N // 3 + 1, 2 * (N // 3) + 1)
 
 

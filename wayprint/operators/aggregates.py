@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayprint.constants import PREFERENCE_LABELS, PREFERENCE_THRESHOLD, REPEAT_ABOVE
-from wayprint.functions import amount_units, integer_mean_of, label_flag, mean_of, present
+from wayprint.functions import exact_amount, integer_mean_of, label_flag, mean_of, present, reaches
 
 
 def count_by(df: DataFrame, keys: Iterable[str], out: str, having: str | None = None) -> DataFrame:
@@ -26,17 +26,15 @@ def mean_by(df: DataFrame, keys: Iterable[str], amount: str, out: str) -> DataFr
 
 
 def mean_and_count_by(df: DataFrame, keys: Iterable[str], amount: str, mean: str, n: str) -> DataFrame:
-    """Mean and number of the non-null amounts, in one pass."""
-    rows = df.filter(present(amount))
-    return rows.groupBy(*keys).agg(
-        mean_of(F.sum(amount_units(amount)), _rows()).alias(mean), _rows().alias(n),
-    )
+    """Mean and number of the amounts, in one pass; text that is no number is no amount."""
+    rows = df.filter(present(amount)).withColumn("_amount", exact_amount(amount)).filter(present("_amount"))
+    return rows.groupBy(*keys).agg(mean_of(F.sum("_amount"), _rows()).alias(mean), _rows().alias(n))
 
 
 def integer_mean_by(df: DataFrame, keys: Iterable[str], amount: str, out: str) -> DataFrame:
     """Truncated sum divided by the count, as an integer."""
-    rows = df.filter(present(amount))
-    return rows.groupBy(*keys).agg(integer_mean_of(F.sum(amount_units(amount)), _rows()).alias(out))
+    rows = df.filter(present(amount)).withColumn("_amount", exact_amount(amount)).filter(present("_amount"))
+    return rows.groupBy(*keys).agg(integer_mean_of(F.sum("_amount"), _rows()).alias(out))
 
 
 def repeat_flag_by(df: DataFrame, keys: Iterable[str], out: str, above: int = REPEAT_ABOVE) -> DataFrame:
@@ -62,9 +60,8 @@ def majority_label_by(
 
     Scores are numbers held as text; rows without a number do not count.
     """
-    rows = df.withColumn("_score", amount_units(score)).filter(present("_score"))
-    mean = mean_of(F.sum("_score"), _rows())
-    return rows.groupBy(*keys).agg(F.when(mean >= threshold, labels[0]).otherwise(labels[1]).alias(out))
+    rows = df.withColumn("_score", exact_amount(score)).filter(present("_score"))
+    return rows.groupBy(*keys).agg(F.when(reaches(F.sum("_score"), _rows(), threshold), labels[0]).otherwise(labels[1]).alias(out))
 
 
 def total(df: DataFrame, out: str) -> DataFrame:

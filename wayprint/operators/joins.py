@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wayprint.functions import present
 
@@ -15,30 +15,74 @@ def attach(df: DataFrame, other: DataFrame, on: dict[str, str], require: Iterabl
     Rows where a ``require`` column is null afterwards are dropped. When such a
     column comes from ``other``, Spark plans the join as an inner join and
     filters both sides before the shuffle. There are no hints: the join type
-    follows the sizes Spark measures, and a hot key is split at run time.
+    follows the sizes Spark measures, and a hot key is split at run time. Keys of
+    different types are compared as text.
     """
     renamed = {right: f"_{right}" for right in on.values()}
     other = other.withColumnsRenamed(renamed)
-    condition = [df[left] == other[renamed[right]] for left, right in on.items()]
+    condition = [_same(df, left, other, renamed[right]) for left, right in on.items()]
     joined = df.join(other, condition, "left_outer").drop(*renamed.values())
     required = list(require)
     return joined.filter(present(*required)) if required else joined
 
 
 def attach_spread(
-    df: DataFrame, lookup: DataFrame, on: dict[str, str], spread_by: str, ways: int = 8,
+    df: DataFrame, lookup: DataFrame, on: dict[str, str], spread_by: str, ways: int | None = None,
 ) -> DataFrame:
     """Left outer join with an aggregated lookup, safe when one key holds much of ``df``.
 
     The rows of a key are spread ``ways`` ways by the value of another column, and
-    the lookup is repeated as often. Small lookups are broadcast by Spark as usual.
+    the lookup is repeated as often: as many ways as the session has shuffle
+    partitions, if not given. Small lookups are broadcast by Spark as usual.
     """
+    ways = ways or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = df.withColumn("_salt", F.pmod(F.hash(spread_by), F.lit(ways)))
     copies = F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))
     repeated = lookup.withColumn("_way", copies)
     return attach(salted, repeated, {**on, "_salt": "_way"}).drop("_salt")
 
 
+HOST = r"^[^:/]+://[^/]+"
+
+
+def prefix_lookup(df: DataFrame, url: str, prefixes: DataFrame, out: str) -> DataFrame:
+    """``df`` with the id of the longest prefix of its URL, from a table ``prefix, id``.
+
+    A prefix names a whole scheme and host, on which the tables are joined, and may go
+    on with a path. All prefixes of a host are one row, longest first, so no row of
+    ``df`` is repeated; Spark broadcasts the table by its measured size or not at all.
+    """
+    hosts = prefixes.filter(present("prefix")).select(F.regexp_extract("prefix", HOST, 0).alias("_host"), "prefix", "id")
+    longest_first = F.sort_array(F.collect_list(F.struct(F.length("prefix").alias("size"), "prefix", "id")), asc=False)
+    hosts = hosts.filter("_host <> ''").groupBy("_host").agg(longest_first.alias("_prefixes"))
+    found = attach(df.withColumn("_of", F.regexp_extract(url, HOST, 0)), hosts, {"_of": "_host"})
+    hits = F.filter("_prefixes", lambda p: F.startswith(F.col(url), p["prefix"]))
+    return found.withColumn(out, F.get(hits, F.lit(0))["id"]).drop("_of", "_prefixes")
+
+
+# Keys that are broadcast at most: some tens of megabytes.
+MOST_KEYS = 1_000_000
+
+
+def only_keys(df: DataFrame, some: DataFrame, key: str, most: int = MOST_KEYS) -> DataFrame:
+    """Rows of a large table whose key is among those of a span of days.
+
+    The distinct keys are counted while the plan is built, up to ``most``. So many
+    are broadcast, and the table is filtered where it is scanned; with more keys
+    than that the span is no small part, and Spark joins as it sees fit.
+    """
+    keys = some.filter(present(key)).select(F.col(key).alias("_key")).distinct()
+    if keys.limit(most + 1).count() <= most:
+        keys = F.broadcast(keys)
+    return df.join(keys, _same(df, key, keys, "_key"), "left_semi")
+
+
+def _same(left: DataFrame, a: str, right: DataFrame, b: str) -> Column:
+    if left.schema[a].dataType == right.schema[b].dataType:
+        return left[a] == right[b]
+    return left[a].cast("string") == right[b].cast("string")
+
+
 def paired_count_by(left: DataFrame, right: DataFrame, keys: Iterable[str], out: str) -> DataFrame:
     """Count per key of ``right`` after joining every left row with every right row.
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def merge_fields(parts: Iterable[DataFrame], keys: Iterable[str]) -> DataFrame:
@@ -23,10 +23,11 @@ def merge_fields(parts: Iterable[DataFrame], keys: Iterable[str]) -> DataFrame:
 def merge_into(stored: DataFrame, changes: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Stored documents with the changed fields replaced; new keys are added.
 
-    A null in ``changes`` leaves the stored field alone.
+    A null in ``changes`` leaves the stored field alone. Both tables meet in one
+    aggregation by the keys, where null keys are equal, and not in a join.
     """
-    keys = list(keys)
-    return _outer(stored, changes, keys, lambda old, new: F.coalesce(new, old))
+    newest = lambda f: F.max_by(f, F.when(F.col(f).isNotNull(), F.col("_order")))
+    return _together(stored, changes, list(keys), lambda f, both: newest(f) if both else F.max(f))
 
 
 def apply_increment(stored: DataFrame, increment: DataFrame, keys: Iterable[str]) -> DataFrame:
@@ -34,21 +35,11 @@ def apply_increment(stored: DataFrame, increment: DataFrame, keys: Iterable[str]
 
     Fields only in ``stored`` are kept. A field neither side has for a key stays null.
     """
-    def add(old, new):
-        return F.when(old.isNotNull() | new.isNotNull(), F.coalesce(old, F.lit(0)) + F.coalesce(new, F.lit(0)))
-
-    return _outer(stored, increment, list(keys), add)
-
-
-def _outer(stored: DataFrame, changes: DataFrame, keys: list[str], combine) -> DataFrame:
-    old, new = stored.alias("old"), changes.alias("new")
-    same_key = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]
-    columns = [F.coalesce(f"old.{k}", f"new.{k}").alias(k) for k in keys]
-    for field in dict.fromkeys(c for c in stored.columns + changes.columns if c not in keys):
-        if field not in changes.columns:
-            columns.append(F.col(f"old.{field}").alias(field))
-        elif field not in stored.columns:
-            columns.append(F.col(f"new.{field}").alias(field))
-        else:
-            columns.append(combine(F.col(f"old.{field}"), F.col(f"new.{field}")).alias(field))
-    return old.join(new, same_key, "full_outer").select(*columns)
+    return _together(stored, increment, list(keys), lambda f, both: F.sum(f) if both else F.max(f))
+
+
+def _together(stored: DataFrame, changes: DataFrame, keys: list[str], combine: Callable[[str, bool], Column]) -> DataFrame:
+    """One row per key; each side has at most one. ``combine`` is told whether both sides have the field."""
+    rows = stored.withColumn("_order", F.lit(0)).unionByName(changes.withColumn("_order", F.lit(1)), allowMissingColumns=True)
+    fields = [c for c in dict.fromkeys(stored.columns + changes.columns) if c not in keys]
+    return rows.groupBy(*keys).agg(*[combine(f, f in stored.columns and f in changes.columns).alias(f) for f in fields])

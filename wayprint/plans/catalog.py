@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, functions as F
 
 from wayprint.constants import ARTICLE_LABELS, PREFERENCE_LABELS, PREFERENCE_THRESHOLD, REPEAT_ABOVE
-from wayprint.functions import mean_of
+from wayprint.functions import mean_of, reaches
 
 
 @dataclass(frozen=True)
@@ -36,7 +36,7 @@ MEAN_AMOUNT = Value(("amount_sum", "amount_n"), mean_of)
 REPEATS = Value(("order_n",), lambda n: n > REPEAT_ABOVE)
 PREFERENCE = Value(
     ("class_sum", "class_n"),
-    lambda total, n: F.when(n.isNotNull(), F.when(mean_of(total, n) >= PREFERENCE_THRESHOLD, PREFERENCE_LABELS[0])
+    lambda total, n: F.when(n.isNotNull(), F.when(reaches(total, n, PREFERENCE_THRESHOLD), PREFERENCE_LABELS[0])
                             .otherwise(PREFERENCE_LABELS[1])),
 )
 ORDERS, USES, BROWSES = added("order_n"), added("usage_n"), added("browse_n")

@@ -1,7 +1,7 @@
 """What happened, per source: one row per event with the parts it adds to a profile.
 
 Every fact has the columns of ``KEYS`` and some of ``PARTS``. All parts are whole
-numbers that add up, so any set of facts, or any set of days, combines by summing:
+or exact decimal numbers that add up, so any set of facts, or any set of days, combines by summing:
 
 - ``subject``: what the event is about (rest, lounge, parking, ...)
 - ``itemized``: whether it belongs in a per-item document, or only in the user's
@@ -23,10 +23,10 @@ from wayprint.constants import (
     ARTICLE_URL_PREFIX, BANNER_URL_PREFIXES, BROWSE_URLS, CODE_CLASSES, COMMENT_SCORE_ABOVE, DAY_ZONE,
 )
 from wayprint.functions import (
-    any_prefix, amount_units, explode_codes, has_prefix, in_values, in_window, json_fields, not_blank,
+    AMOUNT_SUM, any_prefix, exact_amount, explode_codes, has_prefix, in_values, in_window, json_fields, not_blank,
     prefix_id, present, url_segment,
 )
-from wayprint.operators.joins import attach, attach_spread
+from wayprint.operators.joins import attach, attach_spread, only_keys
 from wayprint.sources import Registry
 
 KEYS = ["subject", "itemized", "user_id", "item_code"]
@@ -36,6 +36,9 @@ PARTS = [
 ]
 
 
+AMOUNT_PARTS = {"amount_sum", "class_sum"}
+
+
 @dataclass(frozen=True)
 class Window:
     """Whole days ``[start, end)`` of a zone; a missing bound is open."""
@@ -82,7 +85,8 @@ def _orders(registry: Registry, window: Window, subjects: frozenset[str], parts:
 
     Restaurant and parking lines carry their own time; the other products are
     dated by the header. For a span with a start, such as a day, these come from
-    a join of their own, in which the filter reaches the header scan.
+    a join of their own, in which the filter reaches the header scan; and of the
+    side without a time, only the orders of the span enter the join.
     """
     own_time, header_time = [], []
     if "rest" in subjects and parts & {"amount_sum", "amount_n", "order_n", "class_sum", "class_n"}:
@@ -108,18 +112,23 @@ def _orders(registry: Registry, window: Window, subjects: frozenset[str], parts:
             in_span = in_window(rows, "cdate", end=window.end, zone=window.zone)
             rows = rows.filter(~in_values("subject", ["cip", "vvip", "car"]) | in_span)
     else:
-        rows = _union([
-            _with_header(lines, head)
-            for lines, head in [(own_time, header), (header_time, window.filter(header, "cdate"))] if lines
-        ])
-
+        joined = []
+        if own_time:
+            lines = _union(own_time)
+            joined.append(_with_header([lines], only_keys(header, lines, "order_no")))
+        if header_time:
+            head = window.filter(header, "cdate").filter(present("user_id"))
+            joined.append(_with_header([only_keys(_union(header_time), head, "order_no")], head))
+        rows = _union(joined)
+
+    # An order counts when its header has an amount, whatever number that is.
     priced_by_header = F.col("subject") != "rest"
-    amount = F.when(priced_by_header, amount_units("actual_amount"))
+    amount = F.when(priced_by_header, exact_amount("actual_amount"))
     if "amount" in rows.columns:
         amount = F.coalesce(amount, F.col("amount"))
     rows = rows.withColumn("amount_sum", amount)
     return (
-        rows.filter(~priced_by_header | present("amount_sum"))
+        rows.filter(~priced_by_header | present("actual_amount"))
         .withColumn("itemized", in_values("subject", ["rest", "parking", "cip"]))
         .withColumn("amount_n", _one_if("amount_sum is not null"))
         .withColumn("order_n", _one_if("not used"))
@@ -137,7 +146,7 @@ def _restaurant_lines(registry: Registry, window: Window, parts: frozenset[str])
         # One row per class, so the join repeats no order line.
         scores = (
             registry.table("restaurant_class")
-            .select("fd_class", amount_units("fd_cls").alias("score"))
+            .select("fd_class", exact_amount("fd_cls").alias("score"))
             .filter(present("fd_class", "score"))
             .groupBy("fd_class")
             .agg(F.sum("score").alias("class_sum"), F.count(F.lit(1)).alias("class_n"))
@@ -146,7 +155,7 @@ def _restaurant_lines(registry: Registry, window: Window, parts: frozenset[str])
     else:
         lines = lines.withColumns({"class_sum": no_part("class_sum"), "class_n": no_part("class_n")})
     return _lines(
-        lines.withColumn("amount", amount_units("xfprice")), "rest", "fd_code", "fd_restaurant_code",
+        lines.withColumn("amount", exact_amount("xfprice")), "rest", "fd_code", "fd_restaurant_code",
         extra=["amount", "class_sum", "class_n"],
     )
 
@@ -168,19 +177,18 @@ def _transfer_records(registry: Registry, window: Window, subjects: frozenset[st
     """Uses of airport transfers: record, product order and header, all by order number.
 
     Records are counted per order before they meet the products, so an order with
-    many of both is not multiplied out. Over a full history, products are counted
-    per order and code as well; the records of some days are few beside them.
+    many of both is not multiplied out, and so are products per order and code. For
+    a day, only the products and headers of its orders enter the joins.
     """
     records = (
         window.filter(registry.table("tb_order_cip_record"), "create_time")
         .filter(present("order_no")).groupBy("order_no").agg(F.count(F.lit(1)).alias("records"))
     )
     products = registry.table("tb_order_cip").filter(present("order_no", "pro_code"))
-    if window.start is None:
-        products = products.groupBy("order_no", "pro_code").agg(F.count(F.lit(1)).alias("products"))
-    else:
-        products = products.withColumn("products", F.expr("1L"))
     header = registry.table("tb_order").select("order_no", "user_id")
+    if window.start is not None:
+        products, header = (only_keys(df, records, "order_no") for df in (products, header))
+    products = products.groupBy("order_no", "pro_code").agg(F.count(F.lit(1)).alias("products"))
     used = attach(records, products, {"order_no": "order_no"}, require=["pro_code"])
     return attach(used, header, {"order_no": "order_no"}, require=["user_id"]).select(
         F.lit("cip").alias("subject"), F.lit(True).alias("itemized"),
@@ -199,7 +207,7 @@ def _lounges(registry: Registry, window: Window, subjects: frozenset[str], parts
         visits = window.filter(registry.table("tblconsumerecord"), "consumetime")
         added.append(visits.filter(present("dragoncode", "loungecode")).select(
             "dragoncode", F.col("loungecode").alias("item_code"),
-            amount_units("point").alias("amount_sum"),
+            exact_amount("point").alias("amount_sum"),
             _one_if("point is not null").alias("amount_n"),
             F.expr("1L as usage_n"),
             F.when(has_prefix("loungecode", "N"), F.col("personcount")).alias("people_sum"),
@@ -209,7 +217,10 @@ def _lounges(registry: Registry, window: Window, subjects: frozenset[str], parts
         services = services.filter(present("dragoncode", "lounge_code")).select("dragoncode", "lounge_code")
         added.append(explode_codes(services, "lounge_code", "item_code").withColumn("order_n", F.expr("1L")))
     per_card = sum_parts(_union(added), ["dragoncode", "item_code"])
-    return attach(per_card, registry.table("tb_bindrecord"), {"dragoncode": "dragoncode"}, require=["user_id"]).select(
+    cards = registry.table("tb_bindrecord")
+    if window.start is not None:
+        cards = only_keys(cards, per_card, "dragoncode")
+    return attach(per_card, cards, {"dragoncode": "dragoncode"}, require=["user_id"]).select(
         F.lit("lounge").alias("subject"), F.lit(True).alias("itemized"), "user_id", "item_code",
         *[c for c in per_card.columns if c in PARTS],
     )
@@ -315,7 +326,7 @@ FACTS = {
 
 
 def no_part(part: str) -> Column:
-    return F.expr(f"cast(null as bigint) as {part}")
+    return F.expr(f"cast(null as {AMOUNT_SUM if part in AMOUNT_PARTS else 'bigint'}) as {part}")
 
 
 def sum_parts(df: DataFrame, keys: Iterable[str]) -> DataFrame:

@@ -21,14 +21,22 @@ from wayprint.plans.jobs import article_label_sums
 from wayprint.sources import Registry
 
 
-def fact_rows(registry: Registry, window: Window = Window(), facts: Iterable[str] | None = None) -> DataFrame:
-    """The rows of all facts together, not summed."""
-    return _together([FACTS[n].rows(registry, window) for n in (FACTS if facts is None else facts)])
+def fact_rows(
+    registry: Registry, window: Window = Window(), facts: Iterable[str] | None = None, parts: Iterable[str] | None = None,
+) -> DataFrame:
+    """The rows of all facts together, not summed. Of sources, only what ``parts`` need is read."""
+    return _together([FACTS[n].rows(registry, window, parts=parts) for n in (FACTS if facts is None else facts)])
 
 
-def build_state(registry: Registry, window: Window = Window(), facts: Iterable[str] | None = None) -> DataFrame:
+def build_state(
+    registry: Registry, window: Window = Window(), facts: Iterable[str] | None = None, parts: Iterable[str] | None = None,
+) -> DataFrame:
     """The state of a span of days: all facts summed in one aggregation."""
-    return sum_parts(fact_rows(registry, window, facts), KEYS)
+    return sum_parts(fact_rows(registry, window, facts, parts), KEYS)
+
+
+# What item documents are made of.
+ITEM_PARTS = sorted({part for job in ITEM_JOBS for part in job.parts})
 
 
 def add_states(*states: DataFrame) -> DataFrame:

@@ -1,62 +1,123 @@
-"""Keeps the state in a folder: a base, and one partition per later day.
+"""Keeps state and documents in a folder, version by version.
 
-A day's partition holds only that day, so writing it again replaces it and
-nothing else, and no run reads what it overwrites. Days may arrive in any order.
+A write goes to a version folder of its own, and Spark's committer marks it when it is
+complete. Readers take the newest complete version, so an interrupted write leaves the
+one before in place, and no run reads what it writes. Old versions stay until
+``discard_old``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from wayprint.operators import merge_into
 from wayprint.plans.facts import Window
 from wayprint.plans.profiles import add_states, build_state
 from wayprint.sources import Registry
 
 
+class Versions:
+    """Tables in version folders under a root that all executors reach."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def current(self, name: str) -> str | None:
+        """Folder of the newest complete version."""
+        found = [v for v in self._numbers(name) if self._exists(f"{self._path(name, v)}/_SUCCESS")]
+        return self._path(name, max(found)) if found else None
+
+    def read(self, name: str) -> DataFrame:
+        path = self.current(name)
+        if path is None:
+            raise FileNotFoundError(f"no complete version of {name} in {self.root}")
+        return self.spark.read.parquet(path)
+
+    def write(self, df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> str:
+        """A new version, after all others, complete or not."""
+        path = self._path(name, max(self._numbers(name), default=0) + 1)
+        df.write.partitionBy(*partition_by).parquet(path)
+        return path
+
+    def discard_old(self, name: str) -> None:
+        """Delete versions before the current one, and incomplete ones before it."""
+        path = self.current(name)
+        for number in self._numbers(name):
+            if path and number < int(path.rpartition("=")[2]):
+                self._files().delete(self._file(self._path(name, number)), True)
+
+    def _path(self, name: str, number: int) -> str:
+        return f"{self.root}/{name}/version={number}"
+
+    def _numbers(self, name: str) -> list[int]:
+        folder = self._file(f"{self.root}/{name}")
+        if not self._files().exists(folder):
+            return []
+        names = [status.getPath().getName() for status in self._files().listStatus(folder)]
+        return [int(n.partition("=")[2]) for n in names if n.startswith("version=")]
+
+    def _exists(self, path: str) -> bool:
+        return self._files().exists(self._file(path))
+
+    def _files(self):
+        return self._file(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _file(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share; a local one only where none is set, as in tests."""
+    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wayprint-")
+
+
 class StateStore:
+    """The state: a base, and one table per later day. Days may arrive in any order, and again."""
+
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+        self.spark, self.tables = spark, Versions(spark, root)
 
     def write_base(self, registry: Registry, before: dt.date, zone: str | None = None) -> None:
         """State of everything before a day, from the sources."""
         window = Window(end=before) if zone is None else Window(end=before, zone=zone)
-        self._save(build_state(registry, window), self._base(before))
+        self.tables.write(build_state(registry, window), self._base(before))
 
     def write_day(self, registry: Registry, as_of: dt.date, zone: str | None = None) -> None:
         """State of the day before ``as_of``."""
         window = Window.day_before(as_of) if zone is None else Window.day_before(as_of, zone)
-        self._save(build_state(registry, window), self._day(window.start))
+        self.tables.write(build_state(registry, window), self._day(window.start))
 
     def read(self, base: dt.date, as_of: dt.date | None = None) -> DataFrame:
         """Base plus the days from ``base`` up to, not including, ``as_of``."""
-        stored = self.spark.read.parquet(self._base(base))
+        stored = self.tables.read(self._base(base))
         if as_of is None or as_of <= base:
             return stored
-        days = [base + dt.timedelta(days=i) for i in range((as_of - base).days)]
-        return add_states(stored, self.spark.read.parquet(*[self._day(d) for d in days]))
+        return add_states(stored, *[self.tables.read(self._day(base + dt.timedelta(days=i))) for i in range((as_of - base).days)])
 
     def compact(self, base: dt.date, as_of: dt.date) -> None:
         """A new base from an older one and the days after it."""
         if as_of <= base:
             raise ValueError(f"nothing to add to the base of {base} before {as_of}")
-        self._save(self.read(base, as_of), self._base(as_of))
-
-    def write_documents(self, documents: DataFrame, name: str, as_of: dt.date) -> str:
-        """Documents of a day in a folder of their own, split by collection where there is one."""
-        path = f"{self.root}/documents/{name}/as_of={as_of}"
-        writer = documents.write.mode("overwrite")
-        if "collection" in documents.columns:
-            writer = writer.partitionBy("collection")
-        writer.parquet(path)
-        return path
+        self.tables.write(self.read(base, as_of), self._base(as_of))
+
+    def write_documents(self, documents: DataFrame, name: str) -> str:
+        """All documents of a name anew, split by collection where there is one."""
+        return self.tables.write(documents, f"documents/{name}", ["collection"] if "collection" in documents.columns else [])
+
+    def merge_documents(self, changes: DataFrame, name: str, keys: Iterable[str]) -> str:
+        """A new version of stored documents, with the fields of ``changes`` merged in by key."""
+        path = self.tables.current(f"documents/{name}")
+        return self.write_documents(merge_into(self.spark.read.parquet(path), changes, keys) if path else changes, name)
 
-    def _save(self, state: DataFrame, path: str) -> None:
-        state.write.mode("overwrite").parquet(path)
+    def read_documents(self, name: str) -> DataFrame:
+        return self.tables.read(f"documents/{name}")
 
     def _base(self, before: dt.date) -> str:
-        return f"{self.root}/base/before={before}"
+        return f"base/before={before}"
 
     def _day(self, day: dt.date) -> str:
-        return f"{self.root}/days/day={day}"
+        return f"days/day={day}"
