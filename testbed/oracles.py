@@ -237,6 +237,8 @@ _USER = "CAST(o.o_custkey AS VARCHAR) AS user_id"
 PAGE_PREFIXES = {
     "blog": "https://blog.", "mobile": "https://m.", "plain_blog": "http://blog.", "plain_mobile": "http://m.",
 }
+# Prefixes of the table form: scheme and host, and with the first folder.
+PAGE_TABLE = ("^[^:/]+://[^/]+", "^[^:/]+://[^/]+/[^/?]+")
 _PAGE_CASE = "CASE " + " ".join(f"WHEN starts_with(url, '{p}') THEN '{b}'" for b, p in PAGE_PREFIXES.items()) + " END"
 _LANGUAGE = "split_part(url, '/', 4)"
 
@@ -295,6 +297,9 @@ PATTERNS = {
                       "count(*) AS orders_num FROM orders GROUP BY 1) o ON u.user_id = o.user_id "
                       "LEFT JOIN (SELECT CAST(user_id AS VARCHAR) AS user_id, max(ts) AS last_seen, "
                       "count(*) AS events_num FROM events GROUP BY 1) e ON u.user_id = e.user_id",
+    "p_banner_table": "WITH p AS (SELECT DISTINCT unnest([" + ", ".join(f"regexp_extract(url, '{p}')" for p in PAGE_TABLE) + "]) AS prefix FROM pages), "
+        "m AS (SELECT g.page_id, max_by(p.prefix, length(p.prefix)) AS item_code FROM pages g JOIN p ON p.prefix <> '' AND starts_with(g.url, p.prefix) GROUP BY 1) "
+        "SELECT item_code, count(*) AS browse_num FROM m GROUP BY 1",
     "p_total": "SELECT count(*) AS events_num, count(DISTINCT user_id) AS users_num FROM events",
     "p_infer": "SELECT 'k:' || json_extract_string(props, '$.k') AS line FROM events",
     "rejected_page_views": with_sources("tbd_url_element") +
@@ -307,7 +312,11 @@ PATTERNS = {
     "e01_document_query": with_sources("user_flight") +
         "\nSELECT 'userID:' || coalesce(json_extract_string(doc, '$.userId'), 'null') || '|isStop:' || "
         "coalesce(json_extract_string(doc, '$.isStop'), 'null') AS line FROM user_flight WHERE json_valid(doc)",
+    "document_values": with_sources("user_flight") +
+        "\nSELECT field, count(json_extract_string(doc, '$.' || field)) AS documents, count(DISTINCT json_extract_string(doc, '$.' || field)) AS values "
+        "FROM user_flight CROSS JOIN (SELECT DISTINCT unnest(json_keys(doc)) AS field FROM user_flight) GROUP BY field",
     "other_visits": with_sources("tbd_visit_url") +
         "\nSELECT user_id, count(*) AS browse_num FROM tbd_visit_url "
         f"WHERE user_id IS NOT NULL AND url IS NOT NULL AND {_BANNER_CASE} IS NULL GROUP BY user_id",
 }
+PATTERNS["p_merge_documents"] = PATTERNS["p_merge_stored"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,13 +18,14 @@ from wayprint.functions import (
 )
 from wayprint.operators import (
     apply_increment, attach, attach_spread, count_by, distinct_total, integer_mean_by, label_sums_by,
-    majority_label_by, mean_and_count_by, mean_by, merge_fields, merge_into, paired_count_by,
+    majority_label_by, mean_and_count_by, mean_by, merge_fields, merge_into, paired_count_by, prefix_lookup,
     repeat_flag_by, sum_by, total,
 )
 from wayprint.plans.catalog import DAILY_JOBS, FULL_JOBS, ITEM_JOBS, USER_JOBS
 from wayprint.plans.facts import FACTS, Window, sum_parts, other_visits, rejected_page_views
 from wayprint.plans.jobs import run_daily, run_job, table_counts
-from wayprint.plans.profiles import build_state, fact_rows, item_documents, user_documents
+from wayprint.plans.profiles import ITEM_PARTS, build_state, fact_rows, item_documents, user_documents
+from wayprint.plans.store import StateStore, shared_root
 from wayprint.sources import documents_table, format_row, query_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +120,15 @@ def p_banner(spark, sf):
     return count_by(pages, USER_ITEM, "browse_num")
 
 
+def p_banner_table(spark, sf):
+    """As p_banner, with the prefixes as a table: every host of the pages, and every first folder."""
+    pages = load("pages", spark, sf).select("url")
+    prefixes = pages.select(F.explode(F.array(*[F.regexp_extract("url", p, 0) for p in oracles.PAGE_TABLE])).alias("prefix"))
+    prefixes = prefixes.filter("prefix <> ''").distinct().withColumn("id", F.col("prefix"))
+    found = prefix_lookup(pages, "url", prefixes, "item_code")
+    return count_by(found.filter(present("item_code")), ["item_code"], "browse_num")
+
+
 def p_anti(spark, sf):
     pages = load("pages", spark, sf).filter(~any_prefix("url", PAGE_PREFIXES.values()))
     return count_by(pages.select(url_segment("url", 3).alias("user_id")), ["user_id"], "browse_num")
@@ -179,6 +190,15 @@ def p_merge_stored(spark, sf):
     return merge_into(stored, changes, ["user_id"])
 
 
+def p_merge_documents(spark, sf):
+    """A stored profile of users, and a version of it with another source's fields merged in."""
+    orders, events = _per_user(spark, sf)
+    store = StateStore(spark, f"{shared_root(spark)}/{uuid.uuid4().hex}")
+    store.write_documents(orders.groupBy("user_id").agg(F.max("at").alias("last_seen"), F.count(F.lit(1)).alias("orders_num")), "users")
+    store.merge_documents(events.groupBy("user_id").agg(F.max("at").alias("last_seen"), F.count(F.lit(1)).alias("events_num")), "users", ["user_id"])
+    return store.read_documents("users")
+
+
 def p_total(spark, sf):
     events = load("events", spark, sf)
     return total(events, "events_num").withColumn(
@@ -187,21 +207,28 @@ def p_total(spark, sf):
 
 def p_infer(spark, sf):
     documents = documents_table(load("events", spark, sf), "props")
-    return query_documents(documents, "document", "SELECT k FROM document").select(format_row(k="k").alias("line"))
+    return query_documents(documents, "SELECT k FROM {documents}").select(format_row(k="k").alias("line"))
 
 
 def e01_document_query(spark, sf):
     stored = load(DOCUMENTS.base, spark, sf).selectExpr(f"{DOCUMENTS.columns['doc']} AS doc")
-    users = query_documents(documents_table(stored, "doc"), "user", "select userId, isStop from user")
+    users = query_documents(documents_table(stored, "doc", ["userId", "isStop"]), "select userId, isStop from {documents}")
     return users.select(format_row(userID="userId", isStop="isStop").alias("line"))
 
 
+def document_values(spark, sf):
+    """Values of every field that any document has, whichever document comes first."""
+    table = documents_table(load(DOCUMENTS.base, spark, sf).selectExpr(f"{DOCUMENTS.columns['doc']} AS doc"), "doc")
+    return table.unpivot([], table.columns, "field", "value").groupBy("field").agg(
+        F.count("value").alias("documents"), F.count_distinct("value").alias("values"))
+
+
 def e02_table_counts(spark, sf):
     return table_counts(registry(spark, sf))
 
 
 def item_profiles(spark, sf):
-    return item_documents(build_state(registry(spark, sf)))
+    return item_documents(build_state(registry(spark, sf), parts=ITEM_PARTS))
 
 
 def user_profiles(spark, sf):
@@ -213,8 +240,8 @@ def user_profiles(spark, sf):
 PATTERNS: dict[str, Query] = {
     f.__name__: f for f in (
         p_count, p_avg, p_avg_count, p_sum, p_flag, p_intavg, p_having, p_count3, p_cross, p_browse, p_prefix,
-        p_explode, p_urlseg, p_banner, p_anti, p_labels, p_label_rows, p_case, p_pref, p_inc, p_merge,
-        p_merge_stored, p_total, p_infer,
+        p_explode, p_urlseg, p_banner, p_banner_table, p_anti, p_labels, p_label_rows, p_case, p_pref, p_inc, p_merge,
+        p_merge_stored, p_merge_documents, p_total, p_infer,
     )
 }
 
@@ -250,7 +277,7 @@ def all_queries() -> dict[str, Query]:
     found = dict(PATTERNS)
     found.update({_name(j): _job(j) for j in FULL_JOBS})
     found.update({_name(j, True): _daily(j) for j in DAILY_JOBS})
-    found.update({q.__name__: q for q in (e01_document_query, e02_table_counts)})
+    found.update({q.__name__: q for q in (e01_document_query, e02_table_counts, document_values)})
     found["item_profiles"] = item_profiles
     found["user_profiles"] = user_profiles
     found["rejected_page_views"] = lambda spark, sf: rejected_page_views(registry(spark, sf))

@@ -1,8 +1,9 @@
 """Source tables made from the test tables.
 
-Each is a projection of one whole test table, written in SQL that Spark and
-DuckDB both read. Values are chosen so that the awkward cases occur: lines
-without an order, orders without a user, missing amounts, texts that are no JSON.
+Each is a projection of one whole test table, row for row, written in SQL that Spark
+and DuckDB both read. Values are chosen so that the awkward cases occur: lines without
+an order or with one that no header has, orders without a user, amounts that are missing
+or have more than four decimals, texts that are no JSON, fields that few documents have.
 """
 
 from __future__ import annotations
@@ -20,11 +21,10 @@ from wayprint.sources.schemas import COLUMNS
 class StandIn:
     base: str
     columns: dict[str, str]
-    where: str | None = None
 
     def sql(self) -> str:
         columns = ", ".join(f"{e} AS {c}" for c, e in self.columns.items())
-        return f"SELECT {columns} FROM {self.base}" + (f" WHERE {self.where}" if self.where else "")
+        return f"SELECT {columns} FROM {self.base}"
 
 
 def _one_of(index: str, values: list[str]) -> str:
@@ -43,7 +43,7 @@ STANDINS = {
     "tb_order": StandIn("orders", {
         "order_no": "o_orderkey",
         "user_id": "CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' THEN NULL ELSE o_custkey END",
-        "actual_amount": "CASE WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'F' THEN NULL ELSE o_totalprice END",
+        "actual_amount": "CASE WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'F' THEN NULL ELSE o_totalprice + (o_orderkey % 7) * 1e-5 END",
         "cdate": "o_orderdate",
     }),
     "restaurant_order_detail2": StandIn("lineitem", {
@@ -54,19 +54,27 @@ STANDINS = {
         "fd_class": "l_partkey",
     }),
     "td_restaurant_order": StandIn("lineitem", {
-        "fd_code": "l_orderkey", "fd_restaurant_code": "concat('R', CAST(l_suppkey AS STRING))", "fd_date": "l_shipdate",
-    }, "l_linestatus = 'O'"),
+        "fd_code": "CASE WHEN l_linestatus = 'O' THEN l_orderkey END",
+        "fd_restaurant_code": "concat('R', CAST(l_suppkey AS STRING))", "fd_date": "l_shipdate",
+    }),
     "tb_order_parking": StandIn("lineitem", {
-        "order_no": "l_orderkey", "parking_code": "concat('P', CAST(l_suppkey AS STRING))",
+        "order_no": "CASE WHEN l_returnflag = 'A' THEN l_orderkey WHEN l_returnflag = 'R' THEN -l_orderkey END",
+        "parking_code": "concat('P', CAST(l_suppkey AS STRING))",
         "create_date": "CAST(l_shipdate AS DATE)",
-    }, "l_returnflag = 'A'"),
+    }),
     "tb_order_cip": StandIn("lineitem", {
-        "order_no": "l_orderkey",
+        "order_no": "CASE WHEN l_returnflag = 'R' THEN l_orderkey WHEN l_returnflag = 'A' THEN -l_orderkey END",
         "pro_code": "CASE WHEN l_quantity = 3 THEN NULL ELSE concat('C', CAST(l_suppkey AS STRING)) END",
-    }, "l_returnflag = 'R'"),
-    "tb_order_cip_record": StandIn("lineitem", {"order_no": "l_orderkey", "create_time": "l_shipdate"}, "l_linestatus = 'F'"),
-    "tb_order_vvip": StandIn("lineitem", {"order_no": "l_orderkey"}, "l_returnflag = 'N' AND l_linestatus = 'O'"),
-    "tb_order_limousine": StandIn("lineitem", {"order_no": "l_orderkey"}, "l_returnflag = 'N' AND l_linestatus = 'F'"),
+    }),
+    "tb_order_cip_record": StandIn("lineitem", {
+        "order_no": "CASE WHEN l_linestatus = 'F' THEN l_orderkey END", "create_time": "l_shipdate",
+    }),
+    "tb_order_vvip": StandIn("lineitem", {
+        "order_no": "CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN l_orderkey END",
+    }),
+    "tb_order_limousine": StandIn("lineitem", {
+        "order_no": "CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN l_orderkey WHEN l_returnflag = 'A' THEN -1 END",
+    }),
     "tblconsumerecord": StandIn("lineitem", {
         "dragoncode": "l_orderkey",
         "loungecode": "CASE WHEN l_linenumber = 6 THEN NULL WHEN l_linenumber = 5 THEN concat('X', CAST(l_suppkey AS STRING)) "
@@ -75,11 +83,11 @@ STANDINS = {
     }),
     "tb_bindrecord": StandIn("orders", {"dragoncode": "o_orderkey", "user_id": "o_custkey"}),
     "tb_order_loungeserv": StandIn("lineitem", {
-        "dragoncode": "l_orderkey",
+        "dragoncode": "CASE WHEN l_returnflag = 'N' THEN l_orderkey WHEN l_returnflag = 'A' THEN -l_orderkey END",
         "lounge_code": "concat('N', CAST(l_suppkey AS STRING), CASE WHEN l_linenumber = 1 THEN ',,' "
                        "WHEN l_linenumber = 2 THEN ',,N1' ELSE concat(',N', CAST(l_linenumber AS STRING)) END)",
         "create_date": "CAST(l_shipdate AS DATE)",
-    }, "l_returnflag = 'N'"),
+    }),
     "tb_user_collect": StandIn("events", {
         "user_id": "user_id", "code": f"concat({_LETTER}, {_K})", "create_time": "ts",
     }),
@@ -113,8 +121,8 @@ STANDINS = {
     }),
     "tbd_lettres_favor": StandIn("events", {
         "user_id": f"CASE WHEN event_id % 13 = 0 THEN NULL ELSE {_TEXT_USER} END",
-        "lettres_id": _K, "create_time": "ts",
-    }, "event_type = 'signup'"),
+        "lettres_id": f"CASE WHEN event_type = 'signup' THEN {_K} END", "create_time": "ts",
+    }),
     "tbd_belles_lettres": StandIn("part", {
         "id": "CASE WHEN p_type = 'PROMO' THEN concat('x', CAST(p_partkey AS STRING)) ELSE CAST(p_partkey AS STRING) END",
         "person_labels": f"CASE WHEN p_type = 'LARGE' THEN NULL ELSE concat({_one_of('p_size % 5', _LABELS)}, ',', "
@@ -149,10 +157,7 @@ def registry(spark: SparkSession, sf_dir: str) -> Registry:
         source = STANDINS[name]
         if source.base not in bases:
             bases[source.base] = load(source.base, spark, sf_dir)
-        base = bases[source.base]
-        if source.where:
-            base = base.filter(source.where)
-        return base.selectExpr(*[f"{e} AS {c}" for c, e in source.columns.items()])
+        return bases[source.base].selectExpr(*[f"{e} AS {c}" for c, e in source.columns.items()])
 
     return Registry(spark, loader)
 
@@ -166,7 +171,8 @@ def with_sources(*names: str) -> str:
 # Stored documents, as JSON text; the second field is missing from some.
 DOCUMENTS = StandIn("events", {
     "doc": f"""concat('{{"userId":', CASE WHEN event_type = 'error' THEN 'null' ELSE {_TEXT_USER} END,
-        CASE WHEN event_id % 4 = 3 THEN '' ELSE concat(',"isStop":', CASE WHEN value > 2 THEN 'true' ELSE 'false' END) END, '}}')""",
+        CASE WHEN event_id % 4 = 3 THEN '' ELSE concat(',"isStop":', CASE WHEN value > 2 THEN 'true' ELSE 'false' END) END,
+        CASE WHEN event_id % 97 = 96 THEN ',"late":1' ELSE '' END, '}}')""",
 })
 
 assert set(STANDINS) == set(COLUMNS)
