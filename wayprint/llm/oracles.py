@@ -1,3 +1,60 @@
-"""SQL of the text queries for a second engine."""
+"""SQL of the text queries for a second engine, written from their definitions.
 
-SQL: dict[str, str] = {}
+Models, minimum hashes and tokenizers are beyond SQL, and strings of all positions
+(op8) or similar lines (op7) are too many for it on whole tables; tests hold these
+against plain Python.
+"""
+
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+_RULES = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+s AS (SELECT *, {_WORDS.format('text')} AS words, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM d),
+u AS (SELECT rid, unnest(words) AS word, unnest(range(len(words))) AS i FROM s),
+grams AS (SELECT rid, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS gram,
+    lead(word, 4) OVER o AS last FROM u WINDOW o AS (PARTITION BY rid ORDER BY i)),
+windows AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM grams WHERE last IS NOT NULL),
+repeated AS (SELECT rid, count(DISTINCT place) AS n FROM (SELECT rid, unnest(range(i, i + 5)) AS place FROM windows WHERE n > 1) GROUP BY rid),
+m AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(length(text) - length(regexp_replace(text, '\p{{Lu}}', '', 'g')) AS BIGINT) AS n_capitals,
+    CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    coalesce(r.n, 0) AS n_repeat_words FROM s LEFT JOIN repeated r USING (rid)),
+f AS (SELECT *, CAST((n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
+    + 8 * (10 * n_dup_lines > 3 * n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT + 32 * (word_chars > 20 * n_words)::INT
+    + 64 * (2 * n_capitals > word_chars)::INT AS BIGINT) AS failures FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures & 3 <> 0 AS base_failed, failures = 0 AS kept, failures FROM f
+"""
+
+_CHAT = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, 15 + length(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), chr(10), '&#10;'))
+        + length(replace(replace(text, '&', '&amp;'), '<', '&lt;')) AS size,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    count(*) OVER (PARTITION BY conv_id) AS n FROM t),
+x AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM e)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(upto) FILTER (role = 'assistant' OR i = n) AS BIGINT) AS formatted_chars
+FROM x GROUP BY conv_id
+"""
+
+_NEAR = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words FROM documents),
+u AS (SELECT doc_id, len(words) AS size, unnest(words) AS word, unnest(range(len(words))) AS i FROM w),
+grams AS (SELECT doc_id, size, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o) AS shingle
+    FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+y AS (SELECT DISTINCT doc_id, shingle FROM grams WHERE i <= greatest(size - 4, 0)),
+x AS (SELECT doc_id, shingle, count(*) OVER (PARTITION BY doc_id) AS n FROM y),
+s AS (SELECT w.doc_id, coalesce(any_value(x.n), 0) AS n FROM w LEFT JOIN x USING (doc_id) GROUP BY w.doc_id),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, CAST(n AS BIGINT) AS n_shingles, min(b) AS component_id, s.doc_id = min(b) AS kept
+FROM s JOIN reach ON a = s.doc_id GROUP BY s.doc_id, n
+"""
+
+SQL: dict[str, str] = {"op3_chat_formatting": _CHAT, "op6_quality_rules": _RULES, "op9_minhash_dedup": _NEAR}
