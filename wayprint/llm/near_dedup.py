@@ -8,11 +8,14 @@ with a chance of about 3 in a million.
 1. Documents with one and the same set of shingles are a class; only classes go on.
 2. Each bucket has a pivot, drawn by a hash. Every member is compared with its buckets'
    pivots on full sets. A group of n near copies costs about n comparisons a band.
-3. Linked classes are joined by a distributed union-find. In the few buckets whose
-   members are then still in several components, the members outside the bucket's
-   largest component are compared with members of other components, except where
-   distances to the pivot prove (by the triangle inequality of the Jaccard distance)
-   that they are too far apart. So no link inside a bucket is lost.
+3. Linked classes are joined by a distributed union-find. Where a bucket's members are
+   then still in several components, they are compared with the member that has the
+   most links, and joined again.
+4. What is left in such buckets is decided by prefix filtering, which loses no link: with
+   the shingles of each set in one order, rare ones first, two sets at the threshold
+   have one in common among the first few. Only pairs that have one, and are in
+   different components, are compared. The many copies of a text share just common
+   shingles, and stay out of each other's way.
 
 Words are maximal runs of other characters than ``[\\x20\\x09-\\x0D]``, with A-Z in lower
 case; shingles and sets are compared as hashes of 64 and 128 bits.
@@ -143,6 +146,36 @@ def _pairs(rows: DataFrame, left: str, right: str) -> DataFrame:
         F.least(left, right).alias("a"), F.greatest(left, right).alias("b")).distinct()
 
 
+def _placed(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of keys with the root of each key's component so far."""
+    return rows.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+
+def _divided(rows: DataFrame, by: str) -> DataFrame:
+    """Rows of groups that hold several components, with the one that has the most rows as ``main``."""
+    counted = rows.groupBy(by, "root").agg(F.count(F.lit(1)).alias("size"))
+    mixed = counted.groupBy(by).agg(F.max(F.struct("size", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    return rows.join(mixed.select(by, "main"), by)
+
+
+def rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """``key, rest, n, shingle``: so many of each set's rarest shingles that sets at the threshold have one in common; ``rest`` counts it and those after it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, members in zip(batch.column("key"), batch.column("members")):
+                found = np.frombuffer(members.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key.as_py()] * len(found), pa.binary()), pa.array(np.full(len(found), len(found))), pa.array(found)], names=["key", "n", "shingle"])
+
+    rows = sets.dropDuplicates(["key"]).select("key", "members").mapInArrow(run, "key binary, n long, shingle long")
+    rows = stored(rows, "shingles")
+    held = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"))
+    ordered = rows.join(held, "shingle").groupBy("key", "n").agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("found"))
+    few = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return ordered.select("key", "n", F.posexplode(F.slice("found", F.lit(1), few.cast("int"))).alias("at", "x")).select(
+        "key", (F.col("n") - F.col("at")).alias("rest"), "n", "x.shingle")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, **columns: str) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document.
 
@@ -164,25 +197,30 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, **columns
     links = compared.filter(is_link).select("a", "b")
     roots = components(links)
 
-    # Buckets whose members are still in several components.
-    distance = 1 - F.col("both") / F.col("any")
-    known = compared.select("a", "b", distance.alias("far"))
-    to_pivot = members.withColumns({"a": F.least("key", "pivot"), "b": F.greatest("key", "pivot")}).join(known, ["a", "b"], "left")
-    placed = to_pivot.join(roots.withColumnRenamed("node", "key"), "key", "left").select(
-        "bucket", "key", "n", F.coalesce("far", F.lit(0.0)).alias("far"), F.coalesce("root", "key").alias("root"))
-    counted = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
-    mixed = counted.groupBy("bucket").agg(F.max(F.struct("size", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    placed = stored(placed.join(mixed.select("bucket", "main"), "bucket"), "mixed")
-    outside = placed.filter("root <> main").select("bucket", F.col("key").alias("x"), F.col("n").alias("x_n"), F.col("far").alias("x_far"), F.col("root").alias("x_root"))
-    reach = 1 - percent / 100 + 1e-9
-    more = outside.join(placed, "bucket").filter(
+    # Members of divided buckets against the best linked one of each.
+    degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("degree"))
+    divided = stored(_divided(_placed(members, roots), "bucket").join(degree, "key", "left"), "divided")
+    hubs = divided.groupBy("bucket").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "key", "root")).alias("hub"))
+    to_hub = divided.join(hubs, "bucket").filter("root <> hub.root").select("key", F.col("hub.key").alias("pivot"))
+    to_hub = _pairs(to_hub, "key", "pivot").join(compared.select("a", "b"), ["a", "b"], "left_anti")
+    second = stored(compare(stored(to_hub, "pairs"), sets), "compared")
+    if not (further := second.filter(is_link).select("a", "b")).isEmpty():
+        links = links.unionByName(further)
+        roots = components(links)
+
+    # Members of buckets that are divided even so, by their rarest shingles.
+    keys = _divided(_placed(divided.select("bucket", "key", "n"), roots), "bucket").select("key").distinct()
+    prefixes = stored(_placed(rarest(sets.join(keys, "key"), percent), roots), "prefixes")
+    rows = _divided(prefixes, "shingle")
+    outside = rows.filter("root <> main").select("shingle", F.col("key").alias("x"), F.col("n").alias("x_n"), F.col("rest").alias("x_rest"), F.col("root").alias("x_root"))
+    more = outside.join(rows, "shingle").filter(
         (F.col("root") != F.col("x_root")) & ((F.col("root") == F.col("main")) | (F.col("x") < F.col("key")))
-        & (F.abs(F.col("far") - F.col("x_far")) <= reach)
-        & (100 * F.least("n", "x_n") >= percent * F.greatest("n", "x_n")))
-    more = _pairs(more, "x", "key").join(compared.select("a", "b"), ["a", "b"], "left_anti")
-    further = stored(compare(stored(more, "pairs"), sets), "compared").filter(is_link).select("a", "b")
-    if not further.isEmpty():
-        roots = components(links.unionByName(further))
+        # The first one in common leaves enough for the least intersection that makes a link.
+        & ((100 + percent) * F.least("rest", "x_rest") >= percent * (F.col("n") + F.col("x_n"))))
+    more = _pairs(more, "x", "key").join(compared.select("a", "b").unionByName(second.select("a", "b")), ["a", "b"], "left_anti")
+    third = stored(compare(stored(more, "pairs"), sets), "compared").filter(is_link).select("a", "b")
+    if not third.isEmpty():
+        roots = components(links.unionByName(third))
 
     of_class = classes.select("key", "first_id").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     first = of_class.groupBy("root").agg(F.min("first_id").alias("component_id"))
