@@ -107,6 +107,8 @@ class Model:
 
     def score(self, found: np.ndarray) -> np.ndarray:
         """The calibrated probability, with a thousandth of the raw score so that pools keep their order."""
+        if not self.weights.any():
+            return np.full(len(found), self.share[0])
         raw = self.raw_score(found)
         return np.clip(0.999 * np.interp(raw, self.raw, self.share) + 0.001 * np.clip(raw, 0, 1), 0, 1)
 
