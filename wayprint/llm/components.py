@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wayprint.llm.scratch import stored
+from wayprint.llm.scratch import discard, stored
 
 
 def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
@@ -17,13 +17,15 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     both = links.select(F.col(left).alias("node"), F.col(right).alias("other"))
     both = both.unionByName(links.select(F.col(right).alias("node"), F.col(left).alias("other"))).filter("node <> other").distinct()
     both = stored(both, "links")
-    roots = stored(both.groupBy("node").agg(F.min("other").alias("root")).select("node", F.least("node", "root").alias("root")), "roots")
+    table = roots = stored(both.groupBy("node").agg(F.min("other").alias("root")).select("node", F.least("node", "root").alias("root")), "roots")
     while True:
         offered = both.join(roots.select(F.col("node").alias("other"), "root"), "other").groupBy("node").agg(F.min("root").alias("offer"))
         taken = roots.join(offered, "node").select("node", F.col("root").alias("before"), F.least("root", "offer").alias("root"))
         jump = roots.select(F.col("node").alias("root"), F.col("root").alias("further"))
         after = stored(taken.join(jump, "root", "left").select(
             "node", "before", F.least("root", "further").alias("root")), "roots")
-        roots = after.select("node", "root")
+        discard(table)
+        table, roots = after, after.select("node", "root")
         if after.filter("root <> before").isEmpty():
+            discard(both)
             return roots

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wayprint.llm.components import components
-from wayprint.llm.scratch import stored
+from wayprint.llm.scratch import discard, stored
 from wayprint.llm.text import LOWER, mix, slices, span_hashes, utf8, words
 
 N_BANDS = 24
@@ -194,6 +194,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, **columns
     sets = stored(sets_of(docs, wanted, size, **columns), "sets")
     compared = stored(compare(pairs, sets), "compared")
     is_link = 100 * F.col("both") >= percent * F.col("any")
+    discard(pairs)
     links = compared.filter(is_link).select("a", "b")
     roots = components(links)
 
@@ -221,6 +222,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, **columns
     third = stored(compare(stored(more, "pairs"), sets), "compared").filter(is_link).select("a", "b")
     if not third.isEmpty():
         roots = components(links.unionByName(third))
+    discard(members, sets, divided, prefixes)
 
     of_class = classes.select("key", "first_id").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     first = of_class.groupBy("root").agg(F.min("first_id").alias("component_id"))

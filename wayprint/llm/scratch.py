@@ -36,12 +36,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, written as parquet to the shared folder and read back.
 
     What follows does not depend on the executors that computed it. The folder goes
-    when the session's file system closes.
+    with :func:`discard`, or else when the session's file system closes.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     with _setting(spark, CLEANUP, "true"):
         df.write.option("compression", "zstd").parquet(path)
+    files, place = _place(spark, path)
+    files.deleteOnExit(place)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.scratch_path = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by :func:`stored`, once all that was made from them is stored itself."""
+    for df in tables:
+        files, place = _place(df.sparkSession, df.scratch_path)
+        files.delete(place, True)
+
+
+def _place(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
