@@ -7,6 +7,18 @@ from pyspark.sql import DataFrame, functions as F
 from wayprint.llm.scratch import discard, stored
 
 
+def placed(rows: DataFrame, roots: DataFrame, key: str) -> DataFrame:
+    """Rows of keys with the root of each key's component so far."""
+    return rows.join(roots.withColumnRenamed("node", key), key, "left").withColumn("root", F.coalesce("root", key))
+
+
+def divided(rows: DataFrame, by: str) -> DataFrame:
+    """Rows of groups that hold several components, with the one that has the most rows as ``main``."""
+    counted = rows.groupBy(by, "root").agg(F.count(F.lit(1)).alias("size"))
+    mixed = counted.groupBy(by).agg(F.max(F.struct("size", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    return rows.join(mixed.select(by, "main"), by)
+
+
 def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """``node, root`` for every node of a link; root is the smallest node it is connected with.
 

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wayprint.llm.components import components
+from wayprint.llm.components import components, divided, placed
 from wayprint.llm.scratch import discard, stored
 from wayprint.llm.text import LOWER, mix, slices, span_hashes, utf8, words
 
@@ -146,18 +146,6 @@ def _pairs(rows: DataFrame, left: str, right: str) -> DataFrame:
         F.least(left, right).alias("a"), F.greatest(left, right).alias("b")).distinct()
 
 
-def _placed(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of keys with the root of each key's component so far."""
-    return rows.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-
-
-def _divided(rows: DataFrame, by: str) -> DataFrame:
-    """Rows of groups that hold several components, with the one that has the most rows as ``main``."""
-    counted = rows.groupBy(by, "root").agg(F.count(F.lit(1)).alias("size"))
-    mixed = counted.groupBy(by).agg(F.max(F.struct("size", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    return rows.join(mixed.select(by, "main"), by)
-
-
 def rarest(sets: DataFrame, percent: int) -> DataFrame:
     """``key, rest, n, shingle``: so many of each set's rarest shingles that sets at the threshold have one in common; ``rest`` counts it and those after it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,9 +188,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, **columns
 
     # Members of divided buckets against the best linked one of each.
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("degree"))
-    divided = stored(_divided(_placed(members, roots), "bucket").join(degree, "key", "left"), "divided")
-    hubs = divided.groupBy("bucket").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "key", "root")).alias("hub"))
-    to_hub = divided.join(hubs, "bucket").filter("root <> hub.root").select("key", F.col("hub.key").alias("pivot"))
+    parted = stored(divided(placed(members, roots, "key"), "bucket").join(degree, "key", "left"), "parted")
+    hubs = parted.groupBy("bucket").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), "key", "root")).alias("hub"))
+    to_hub = parted.join(hubs, "bucket").filter("root <> hub.root").select("key", F.col("hub.key").alias("pivot"))
     to_hub = _pairs(to_hub, "key", "pivot").join(compared.select("a", "b"), ["a", "b"], "left_anti")
     second = stored(compare(stored(to_hub, "pairs"), sets), "compared")
     if not (further := second.filter(is_link).select("a", "b")).isEmpty():
@@ -210,9 +198,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, **columns
         roots = components(links)
 
     # Members of buckets that are divided even so, by their rarest shingles.
-    keys = _divided(_placed(divided.select("bucket", "key", "n"), roots), "bucket").select("key").distinct()
-    prefixes = stored(_placed(rarest(sets.join(keys, "key"), percent), roots), "prefixes")
-    rows = _divided(prefixes, "shingle")
+    keys = divided(placed(parted.select("bucket", "key", "n"), roots, "key"), "bucket").select("key").distinct()
+    prefixes = stored(placed(rarest(sets.join(keys, "key"), percent), roots, "key"), "prefixes")
+    rows = divided(prefixes, "shingle")
     outside = rows.filter("root <> main").select("shingle", F.col("key").alias("x"), F.col("n").alias("x_n"), F.col("rest").alias("x_rest"), F.col("root").alias("x_root"))
     more = outside.join(rows, "shingle").filter(
         (F.col("root") != F.col("x_root")) & ((F.col("root") == F.col("main")) | (F.col("x") < F.col("key")))
@@ -222,7 +210,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, **columns
     third = stored(compare(stored(more, "pairs"), sets), "compared").filter(is_link).select("a", "b")
     if not third.isEmpty():
         roots = components(links.unionByName(third))
-    discard(members, sets, divided, prefixes)
+    discard(members, sets, parted, prefixes)
 
     of_class = classes.select("key", "first_id").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     first = of_class.groupBy("root").agg(F.min("first_id").alias("component_id"))
