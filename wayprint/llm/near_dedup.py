@@ -120,7 +120,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int, id_column: str = "doc
 
     texts = docs.select(F.col(id_column).alias("first_id"), F.col(text_column).alias("text"))
     rows = wanted.join(texts, wanted["first_id"].eqNullSafe(texts["first_id"])).select("key", "text")
-    return rows.mapInArrow(run, "key binary, members binary")
+    # Repeated rows give a set again.
+    return rows.mapInArrow(run, "key binary, members binary").dropDuplicates(["key"])
 
 
 def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -136,8 +137,7 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     left = sets.select(F.col("key").alias("a"), F.col("members").alias("a_members"))
     right = sets.select(F.col("key").alias("b"), F.col("members").alias("b_members"))
-    # A key may come from several rows of its id; its set is the same.
-    rows = pairs.join(left.dropDuplicates(["a"]), "a").join(right.dropDuplicates(["b"]), "b")
+    rows = pairs.join(left, "a").join(right, "b")
     return rows.select("a", "b", "a_members", "b_members").mapInArrow(run, "a binary, b binary, both long, any long")
 
 
@@ -155,7 +155,7 @@ def rarest(sets: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([key.as_py()] * len(found), pa.binary()), pa.array(np.full(len(found), len(found))), pa.array(found)], names=["key", "n", "shingle"])
 
-    rows = sets.dropDuplicates(["key"]).select("key", "members").mapInArrow(run, "key binary, n long, shingle long")
+    rows = sets.select("key", "members").mapInArrow(run, "key binary, n long, shingle long")
     rows = stored(rows, "shingles")
     held = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"))
     ordered = rows.join(held, "shingle").groupBy("key", "n").agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("found"))

@@ -189,7 +189,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
     pieces = stored(pieces_of(docs, tokenizer_path, end_id, capacity, **columns), "pieces")
     parts = pieces.filter(F.col("length") < capacity)
     n_groups = -(-parts.count() // GROUP_PIECES) or 1
-    mixed = F.xxhash64("doc_id", "start", "ids_crc32")
+    mixed = F.xxhash64(F.monotonically_increasing_id())  # of a stored table; repeated rows are dealt out too
     # Negative numbers for sequences of one whole window, numbers from 0 for the others.
     whole = pieces.filter(F.col("length") == capacity).withColumns(
         {"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
