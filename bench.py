@@ -56,6 +56,9 @@ def headline() -> dict:
     found["item_profiles"] = queries.item_profiles
     found["user_profiles"] = queries.user_profiles
     found["day_of_events"] = day_of_events
+    daily = queries.all_queries()
+    for name in ("c02_daily_rest_usage_counter", "d23_daily_cip_consumption_num", "d24_daily_cip_usage_counter"):
+        found[name] = daily[name]
     return found
 
 
