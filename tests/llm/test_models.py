@@ -71,7 +71,7 @@ def test_classes_share_out_everything(spark):
     chunks = lm_scoring.chunks_of(queries.table(spark, SF_TINY, "documents"), 1, 5).cache()
     known, sums = lm_scoring.count_tokens(chunks)
     weights = lm_scoring.train(lm_scoring.prepared(chunks, known, sums.frequent), sums.start(), 2)
-    found = np.random.default_rng(0).integers(1, 1 << lm_scoring.BITS, (50, lm_scoring.N_FEATURES)).astype(np.int32)
+    found = np.random.default_rng(0).integers(1, 1 << lm_scoring.BITS, (50, lm_scoring.N_FEATURES)).astype(np.uint16)
     assert np.allclose(lm_scoring.softmax(weights, found).sum(axis=1), 1, atol=1e-4)
     rows = known.collect()
     classes = lm_scoring.classes_of([bytes(r.token) for r in rows], sums.frequent)
