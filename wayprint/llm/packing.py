@@ -2,8 +2,10 @@
 
 Each document is its token ids and an end id. Whole windows of a long document are
 sequences by themselves. What remains of it is a piece to be combined with others;
-of some documents it is cut into grains of halving sizes, which even out the rest.
-Pieces meet in groups of bounded size. In each, Karmarkar-Karp multiway differencing
+of some rows it is cut into grains of halving sizes, which even out the rest. How many
+rows that takes follows from the counted lengths: so many that no more pieces above a
+half, a third and so on of a window are left than the windows hold one, two and so on of.
+Pieces meet in groups of many windows. In each, Karmarkar-Karp multiway differencing
 divides them over windows: every piece is a partial partition, and the two partial
 partitions with the largest differences are merged with opposing order, large
 against small, until one is left. When a window holds more than its capacity, the
@@ -33,7 +35,12 @@ from wayprint.llm.text import slices
 
 CACHE_SIZE = 600_000  # words whose ids a worker keeps, whatever the input
 GROUP_PIECES = 1500  # pieces that one differencing divides, on average
-GRAIN_EVERY = 16  # one document in so many lends its remainder as grains
+GROUP_WINDOWS = 64  # windows that a group fills at least, however small its pieces
+PARTS_OF = 64  # shares of rows are counted in so many parts
+LEAST_CUT = 4  # parts of the rows that lend their remainders as grains in any case
+SHARES = 8  # pieces above one in so many of a window are cut as the lengths demand
+SLACK = 0.97  # of the windows, for pieces that leave no whole place
+TRIAL, PADDING = 600, 0.02  # rows of a trial, and the padding it may have
 WHITE = re.compile("[ \n\t\r]")
 # Words of ASCII (less the apostrophe) and Latin-1 letters skip the tokenizer's normalizer: they have one
 # normal form and one lower case, and their parts are runs of letters, single digits and runs of the rest.
@@ -95,17 +102,47 @@ def _worker(key: int, tokenizer_json: str) -> WordEncoder:
     return _workers[key]
 
 
-def cuts(n_tokens: int, capacity: int, grains: bool) -> list[int]:
-    """Lengths of the pieces of one document."""
-    found, rest = [capacity] * (n_tokens // capacity), n_tokens % capacity
-    while grains and rest > 1:
+def grains(rest: int) -> list[int]:
+    """Lengths that a remainder is cut into."""
+    found = []
+    while rest > 1:
         found.append((rest + 1) // 2)
         rest //= 2
     return found + [rest] * (rest > 0)
 
 
+def fewest(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> int:
+    """Windows that so many pieces of these lengths need: by their sum, and as one holds k pieces above its (k + 1)th part."""
+    large = [-(-int(counts[lengths * (k + 1) > capacity].sum()) // k) for k in range(1, SHARES)]
+    return max(1, -(-int((lengths * counts).sum()) // capacity), *large)
+
+
+def cut_parts(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> int:
+    """Of 64 parts of the remainders above an eighth of a window, how many to cut into grains."""
+    large = lengths * SHARES > capacity
+    whole, cut = np.zeros(capacity + 1), np.zeros(capacity + 1)
+    whole[lengths] = counts
+    for length, count in zip(lengths[large].tolist(), counts[large].tolist()):
+        np.add.at(cut, grains(length), count)
+    windows = float((lengths * counts).sum()) / capacity
+    at = np.arange(capacity + 1)
+    # A trial of differencing, over rows at even ranks of the counted lengths.
+    ranks = (np.random.default_rng(0).permutation(TRIAL) + 0.5) / TRIAL * counts.sum()
+    trial = lengths[np.searchsorted(np.cumsum(counts), ranks)] if len(lengths) else lengths
+    for parts in range(LEAST_CUT, PARTS_OF, 4):
+        left = whole * np.where(at * SHARES > capacity, 1 - parts / PARTS_OF, 1) + cut * parts / PARTS_OF
+        if all(left[at * (k + 1) > capacity].sum() <= SLACK * k * windows for k in range(1, SHARES)):
+            shares = np.where(trial * SHARES > capacity, parts, LEAST_CUT) * TRIAL // PARTS_OF
+            pieces = [p for i, n in enumerate(trial.tolist()) for p in (grains(n) if i < shares[i] else [n])]
+            pieces = np.sort(np.array(pieces, np.int64))[::-1]
+            ways = int(np.ceil(pieces.sum() / capacity / (1 - PADDING)))
+            if not len(pieces) or np.bincount(differencing(pieces, ways), pieces).max() <= capacity:
+                return parts
+    return PARTS_OF
+
+
 def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, start, length, ids_crc32, doc_tokens`` of every piece."""
+    """``doc_id, start, length, ids_crc32, doc_tokens`` of whole windows and uncut remainders, and ``grains``, which a remainder may be cut into."""
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer = docs.sparkSession.sparkContext.broadcast(file.read())
     key, end = hash((id(tokenizer), tokenizer_path)), np.array([end_id], "<u4").tobytes()
@@ -114,21 +151,29 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _worker(key, tokenizer.value)
         for batch in batches:
-            row, numbers = [], []
+            row, numbers, parts, ends = [], [], [], [0]
             encoded = (ids for first, last in slices(batch.column(1)) for ids in encoder.encode(batch.column(1).slice(first, last - first).fill_null("").to_pylist()))
             for at, ids in enumerate(encoded):
                 ids += end
                 n, start = len(ids) // 4, 0
-                for length in cuts(n, capacity, zlib.crc32(ids) % GRAIN_EVERY == 0):
+                while start < n:
+                    length = min(capacity, n - start)
                     row.append(at)
                     numbers.append((start, length, zlib.crc32(ids[4 * start:4 * (start + length)]), n))
-                    start += length
+                    for part in grains(length) if length < capacity else ():
+                        parts.append((start, part, zlib.crc32(ids[4 * start:4 * (start + part)])))
+                        start += part
+                    start += capacity * (length == capacity)
+                    ends.append(len(parts))
             columns = [pa.array(c, pa.int64()) for c in zip(*numbers)] or [pa.array([], pa.int64())] * 4
+            fields = [pa.array(c, pa.int64()) for c in zip(*parts)] or [pa.array([], pa.int64())] * 3
+            cut = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, names=["start", "length", "ids_crc32"]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())), *columns],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                [batch.column(0).take(pa.array(row, pa.int64())), *columns, cut],
+                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grains"])
 
-    return docs.select(id_column, text_column).mapInArrow(run, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long")
+    return docs.select(id_column, text_column).mapInArrow(
+        run, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, grains array<struct<start: long, length: long, ids_crc32: long>>")
 
 
 def differencing(lengths: np.ndarray, ways: int) -> np.ndarray:
@@ -176,22 +221,48 @@ def differencing(lengths: np.ndarray, ways: int) -> np.ndarray:
 
 def divide(lengths: np.ndarray, capacity: int) -> np.ndarray:
     """A window for each piece, none above ``capacity``, in as few windows as differencing finds."""
-    ways = max(1, -(-int(lengths.sum()) // capacity))
-    while True:
-        window = differencing(lengths, ways)
-        if np.bincount(window, lengths).max() <= capacity:
-            return window
-        ways += 1
+    run = np.arange(len(lengths))
+    if len(lengths) > 2 * GROUP_PIECES:  # tiny pieces go together
+        unit = max(1, capacity // 64)
+        tiny = lengths < unit
+        together = (np.cumsum(np.where(tiny, lengths, 0)) - np.where(tiny, lengths, 0)) // unit
+        _, run = np.unique(np.where(tiny, -1 - together, run), return_inverse=True)
+    joined = np.bincount(run, lengths).astype(np.int64)
+
+    def tried(ways: int) -> np.ndarray | None:
+        window = differencing(joined, ways)
+        return window if np.bincount(window, joined).max() <= capacity else None
+
+    ways, step = fewest(joined, np.ones(len(joined), np.int64), capacity), 1
+    failed, found = ways - 1, tried(ways)
+    while found is None:
+        failed, ways, step = ways, ways + step, 2 * step
+        found = tried(ways)
+    while ways - failed > 1:
+        middle = (ways + failed) // 2
+        fewer = tried(middle)
+        failed, ways, found = (middle, ways, found) if fewer is None else (failed, middle, fewer)
+    return found[run]
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096, **columns: str) -> DataFrame:
     """Every piece with its ``sequence_id`` and its ``offset`` there."""
     pieces = stored(pieces_of(docs, tokenizer_path, end_id, capacity, **columns), "pieces")
     parts = pieces.filter(F.col("length") < capacity)
-    n_groups = -(-parts.count() // GROUP_PIECES) or 1
-    mixed = F.xxhash64(F.monotonically_increasing_id())  # of a stored table; repeated rows are dealt out too
+    counted = np.array(parts.groupBy("length").count().collect(), np.int64).reshape(-1, 2)  # fewer than capacity rows
+    share = cut_parts(*counted.T, capacity)
+    # By the row of a stored table and not by content; repeated rows are dealt out too.
+    parts = parts.withColumn("row", F.monotonically_increasing_id())
+    of = F.when(F.col("length") * SHARES > capacity, share).otherwise(LEAST_CUT)
+    uncut = F.array(F.struct("start", "length", "ids_crc32"))
+    parts = parts.withColumn("piece", F.explode(F.when(F.pmod(F.xxhash64("row", F.lit(PARTS_OF)), F.lit(PARTS_OF)) < of, F.col("grains")).otherwise(uncut)))
+    mixed = F.xxhash64("row", "piece.start")
+    parts = parts.select("doc_id", "piece.start", "piece.length", "piece.ids_crc32", "doc_tokens", mixed.alias("mixed"))
+    n_pieces = sum(n * ((PARTS_OF - p) + p * len(grains(length))) // PARTS_OF
+                   for length, n in counted.tolist() for p in [share if length * SHARES > capacity else LEAST_CUT])
+    n_groups = max(1, min(-(-n_pieces // GROUP_PIECES), int(counted.prod(axis=1).sum()) // (GROUP_WINDOWS * capacity)))
     # Negative numbers for sequences of one whole window, numbers from 0 for the others.
-    whole = pieces.filter(F.col("length") == capacity).withColumns(
+    whole = pieces.filter(F.col("length") == capacity).drop("grains").withColumns(
         {"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
     stride = 1 << 24
 
@@ -204,5 +275,5 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
         return group
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in whole.schema)
-    mixed_up = parts.withColumn("bucket", F.pmod(mixed, F.lit(n_groups)))
+    mixed_up = parts.withColumn("bucket", F.pmod("mixed", F.lit(n_groups))).drop("mixed")
     return whole.unionByName(mixed_up.groupBy("bucket").applyInPandas(run, schema))
