@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import re
+import zlib
 
 import pandas as pd
 
@@ -85,3 +87,89 @@ def near_duplicates(texts: dict[int, str], size: int, percent: int) -> dict[int,
     sets = [shingles(texts[d], size) for d in ids]
     root = smallest(ids, [(ids[a], ids[b]) for a, b in similar(sets, percent)])
     return {d: (len(s), root[d]) for d, s in zip(ids, sets)}
+
+
+FILTERS = "ABCDE"
+
+
+def failing(texts: dict[int, str]) -> dict[int, str]:
+    """The filters that each document fails."""
+    first: dict[str, int] = {}
+    for d in sorted(texts):
+        first.setdefault(texts[d], d)
+    out = {}
+    for d, text in texts.items():
+        words = WORD.findall(text)
+        tests = (len(words) < 50, 100 * len(set(words)) < 65 * len(words),
+                 100 * sum("A" <= c <= "Z" for c in text) > 5 * len(text), any(c in "#$%&*|" for c in text), first[text] < d)
+        out[d] = "".join(letter for letter, fails in zip(FILTERS, tests) if fails)
+    return out
+
+
+def audit(fails: list[tuple[str, str, int, int]]) -> dict[tuple, tuple]:
+    """All counts of rows ``part, failed filters, good, toxic``, each order applied document by document."""
+    out = {}
+    for part in {row[0] for row in fails}:
+        rows, shapley = [row for row in fails if row[0] == part], collections.Counter()
+        found = {}
+        for order in map("".join, itertools.permutations(FILTERS)):
+            left = rows
+            for step, letter in enumerate(order, 1):
+                gone = [r for r in left if letter in r[1]]
+                left = [r for r in left if letter not in r[1]]
+                shapley[letter] += len(gone)
+                found[part, order, step] = [
+                    len(left), len(gone), sum(letter in r[1] for r in rows) - len(gone), sum(letter == r[1] for r in rows),
+                    sum(r[2] for r in gone), sum(r[3] for r in gone)]
+        out |= {key: (*found[key], shapley[key[1][key[2] - 1]]) for key in found}
+    return out
+
+
+def damage(rows: list[tuple]) -> list[tuple]:
+    """Rows ``conv_id, turn, role, text`` as the checksum damages them, each conversation's in order."""
+    out = []
+    for conv, turn, role, text in rows:
+        key = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        deal = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if deal == 1 else re.sub("[.!?]", "", text) if deal == 2 else text
+        out += [(conv, turn, "user" if deal == 4 else role, text)] * {0: 0, 3: 2}.get(deal, 1)
+    return sorted(out, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0, r[2], r[3]))
+
+
+def mend(rows: list[tuple]) -> tuple:
+    """gaps, blank, duplicate, truncated, illegal, cost, audit and repaired turns of one conversation's ordered rows."""
+    seen, faults, counts = set(), [], collections.Counter()
+    for _, _, role, text in rows:
+        words = WORD.findall(text)
+        fault = "blank" if not words else "duplicate" if (role, text) in seen else "" if words[-1][-1] in ".!?" else "truncated"
+        seen.add((role, text))
+        faults.append(fault)
+        counts[fault] += 1
+    turns = [r[1] for r in rows if r[1] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum((a[2][:1] + b[2][:1]) not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    step = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    best = {"": (0, "", ()), "s": (4, "II", (("user", ""), ("assistant", ""))), "u": (2, "I", (("assistant", ""),)), "a": (0, "", ())}
+    for (_, _, role, text), fault in list(zip(rows, faults))[::-1]:
+        plain = {}
+        for state in best:
+            options = [(best[state][0] + 3, "D" + best[state][1], best[state][2])]
+            if fault not in ("blank", "duplicate"):
+                extra = fault == "truncated"
+                for cost, label, initial, to in [(0, "K", role[:1], role), (2, "R", "u", "user"), (2, "R", "a", "assistant")]:
+                    after = step.get((state, initial))
+                    if after:
+                        rest = best[after]
+                        options.append((cost + extra + rest[0], label + rest[1], ((to, text), *rest[2])))
+            plain[state] = min(options)
+        best = plain
+        for _ in range(2):
+            for state in best:
+                for to in ("user", "assistant"):
+                    after = step.get((state, to[0]))
+                    if after:
+                        rest = best[after]
+                        best[state] = min(best[state], (2 + rest[0], "I" + rest[1], ((to, ""), *rest[2])))
+    cost, edits, turns_ = best[""]
+    return gaps, counts["blank"], counts["duplicate"], counts["truncated"], illegal, cost, edits, turns_

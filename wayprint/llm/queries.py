@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayprint.llm import byte_bpe, chat, fingerprints, line_dedup, lm_scoring, near_dedup, oracles, packing, quality_classifier, quality_rules, suffix_dedup
+from wayprint.llm import (
+    byte_bpe, chat, conversation_repair, filter_audit, fingerprints, line_dedup, lm_scoring, near_dedup, oracles, packing,
+    piece_bpe, quality_classifier, quality_rules, suffix_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,5 +71,17 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digest_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.digests(conversation_repair.damaged(table(spark, sf_dir, "conversations")), gone="gone")
+
+
 QUERIES: dict[str, Query] = {name: found for name, found in globals().copy().items() if name.startswith("op") and name[2].isdigit()}
 ORACLES: dict[str, str] = oracles.SQL
