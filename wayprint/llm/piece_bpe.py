@@ -94,10 +94,13 @@ class Encoder:
         pieces, self.end, self.prefix = model["pieces"], model["end"], MARK if model["prefix"] else ""
         normal = {text: i for i, (text, _, kind) in enumerate(pieces) if kind == NORMAL}
         self.size = len(pieces)
-        alone = sorted({c for text in normal for c in text} - normal.keys())  # characters that only occur inside pieces
+        self.alone = alone = sorted({c for text in normal for c in text} - normal.keys())  # characters that only occur inside pieces
         ids = normal | {c: self.size + i for i, c in enumerate(alone)}
         self.rare = self.size + len(alone)  # from here on: this plus the code point
-        self.symbol = {ord(text): i for text, i in ids.items() if len(text) == 1}
+        self.symbol = self.rare + np.arange(0x110000)
+        for text, i in ids.items():
+            if len(text) == 1:
+                self.symbol[ord(text)] = i
         scores = sorted({pieces[i][1] for i in normal.values()}, reverse=True)
         order = {score: rank for rank, score in enumerate(scores)}
         self.rank_of = np.full(self.size, NO_RANK)
@@ -132,10 +135,8 @@ class Encoder:
             pair = points[:-1] << 32 | points[1:]
             at = np.minimum(np.searchsorted(self.beside, pair), len(self.beside) - 1)
             first[1:-1] |= self.beside[at] != pair
-        distinct, back = np.unique(points, return_inverse=True)
-        symbols = np.array([self.symbol.get(p, self.rare + p) for p in distinct.tolist()], np.int64)[back]
         segment = np.cumsum(first[:-1]) - 1
-        symbols, segment = self._rounds(symbols, segment)
+        symbols, segment = self._rounds(self.symbol[points], segment)
         counts = np.bincount(segment, minlength=int(first[:-1].sum()))
         upto = np.concatenate([[0], np.cumsum(counts)])
         segment_of_word = np.concatenate([np.cumsum(first[:-1])[starts] - 1, [len(counts)]])
@@ -145,12 +146,12 @@ class Encoder:
                 for w, (a, b) in enumerate(zip(cut, cut[1:]))]
 
     def _with_bytes(self, symbols: np.ndarray) -> bytes:
-        out, alone = [], {i: chr(p) for p, i in self.symbol.items() if self.size <= i < self.rare}
+        out = []
         for s in symbols.tolist():
             if s < self.size:
                 out.append(s)
             else:
-                out += [self.byte_ids[b] for b in (alone[s] if s < self.rare else chr(s - self.rare)).encode()]
+                out += [self.byte_ids[b] for b in (self.alone[s - self.size] if s < self.rare else chr(s - self.rare)).encode()]
         return np.array(out, "<u4").tobytes()
 
     def _rounds(self, symbols: np.ndarray, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +217,9 @@ class Encoder:
             symbols, segment, piece, rank = (x[keep] for x in (symbols, segment, piece, rank))
             if not len(symbols):
                 break
-            changed = np.unique(np.concatenate([at, np.maximum(at - 1, 0)]))
+            beside = np.zeros(len(symbols), bool)
+            beside[at] = beside[np.maximum(at - 1, 0)] = True
+            changed = np.flatnonzero(beside)
             changed_inner = changed[changed + 1 < len(symbols)]
             changed_inner = changed_inner[segment[changed_inner] == segment[changed_inner + 1]]
             piece[changed], rank[changed] = -1, NO_RANK
