@@ -5,7 +5,6 @@ import re
 
 import pandas as pd
 import pytest
-import regex
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_TINY
@@ -79,32 +78,6 @@ def test_chat_examples(spark):
     assert chat.digests(chat.examples(turns.limit(0))).count() == 0
 
 
-def shingles(line):
-    return frozenset(m.group(1) for m in regex.finditer(r"(?=(.{1,8}))(?:\p{Lo}|[^\s\p{Lo}]+)", line))
-
-
-def lines_kept(texts: dict[int, str]) -> dict[int, str]:
-    where = collections.defaultdict(list)
-    for d in sorted(texts):
-        for i, line in enumerate(texts[d].split("\n")):
-            if re.search(r"\S", line):
-                where[line].append((d, i))
-    lines = list(where)
-    root, gone = brute.smallest(range(len(lines)), brute.similar([shingles(line) for line in lines], 80)), set()
-    groups = collections.defaultdict(list)
-    for i, line in enumerate(lines):
-        groups[root[i]] += where[line]
-    for group in groups.values():
-        gone |= set(group) - {min(group)}
-    return {d: "\n".join(line for i, line in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in texts.items()}
-
-
-def test_lines_match_brute_force(spark):
-    want = lines_kept(brute.documents(SF_TINY))
-    found = {r.doc_id: r.text for r in queries.op7_line_dedup(spark, SF_TINY).collect()}
-    assert found == want
-
-
 def test_lines_on_edge_cases(edges, nothing):
     found = line_dedup.dedup_lines(edges)
     rows = found.collect()
