@@ -17,12 +17,12 @@ from wayprint.functions import (
     prefix_id, present, priority_of, url_segment, day_window, in_window,
 )
 from wayprint.operators import (
-    apply_increment, attach, attach_spread, count_by, distinct_total, integer_mean_by, label_sums_by,
+    apply_increment, attach, count_by, distinct_total, integer_mean_by, label_sums_by,
     majority_label_by, mean_and_count_by, mean_by, merge_fields, merge_into, paired_count_by, prefix_lookup,
     repeat_flag_by, sum_by, total,
 )
 from wayprint.plans.catalog import DAILY_JOBS, FULL_JOBS, ITEM_JOBS, USER_JOBS
-from wayprint.plans.facts import FACTS, Window, sum_parts, other_visits, rejected_page_views
+from wayprint.plans.facts import LABEL_PARTS, PARTS, Window, other_visits, rejected_page_views
 from wayprint.plans.jobs import run_daily, run_job, table_counts
 from wayprint.plans.profiles import ITEM_PARTS, build_state, fact_rows, item_documents, user_documents
 from wayprint.plans.store import StateStore, shared_root
@@ -158,8 +158,9 @@ def p_case(spark, sf):
 def p_pref(spark, sf):
     classes = load("part", spark, sf).select(
         "p_partkey", F.when(F.col("p_size") >= 25, "1").otherwise("0").alias("cls")).filter(present("p_partkey"))
-    lines = attach_spread(order_lines(spark, sf), classes, {"l_partkey": "p_partkey"}, spread_by="l_orderkey")
-    return text_keys(majority_label_by(lines, ["user_id"], "cls", "preference", labels=("large", "small")))
+    per_part = count_by(order_lines(spark, sf), ["user_id", "l_partkey"], "n")
+    classed = attach(per_part, classes, {"l_partkey": "p_partkey"})
+    return text_keys(majority_label_by(classed, ["user_id"], "cls", "preference", labels=("large", "small"), rows="n"))
 
 
 def p_inc(spark, sf):
@@ -232,9 +233,7 @@ def item_profiles(spark, sf):
 
 
 def user_profiles(spark, sf):
-    tables = registry(spark, sf)
-    articles = FACTS["visits"].rows(tables, subjects=["article"]).filter("itemized")
-    return user_documents(fact_rows(tables), tables, browsed=sum_parts(articles, USER_ITEM))
+    return user_documents(fact_rows(registry(spark, sf), parts=[*PARTS, *LABEL_PARTS]))
 
 
 PATTERNS: dict[str, Query] = {

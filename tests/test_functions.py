@@ -1,5 +1,5 @@
 import datetime as dt
-
+import random
 from decimal import Decimal
 
 import pytest
@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tests.conftest import rows_of
 from wayprint.constants import BANNER_URL_PREFIXES
 from wayprint.functions import (
-    any_prefix, day_window, document_id, exact_amount, explode_codes, in_values, in_window, integer_mean_of,
-    json_field, json_fields, label_flag, mean_of, not_blank, prefix_id, present, priority_of, url_segment,
+    any_prefix, day_window, decimal_of, document_id, explode_codes, in_values, in_window, integer_mean_of,
+    json_field, json_fields, label_flag, limbs_of, mean_of, not_blank, prefix_id, present, priority_of, reaches, url_segment,
+    with_amount,
 )
 
 JSON_CASES = [
@@ -117,31 +118,68 @@ def test_ids_collide_but_keys_do_not(spark):
     assert df.groupBy("u", "i").count().count() == 3
 
 
+def summed(df, function=mean_of, **more):
+    """A function of the sums of an amount's limbs and their count."""
+    made = with_amount(df, "v", "v").filter("v_whole is not null")
+    return made.agg(function(*[F.sum(c) for c in limbs_of("v")], F.count(F.lit(1)), **more)).first()[0]
+
+
 def test_amounts_add_exactly_in_any_order(spark):
     values = [0.1, 0.2, 0.3, 1e9, 0.7, -1e9] * 50
     totals = set()
     for order in (values, sorted(values), values[::-1]):
-        df = spark.createDataFrame([(v,) for v in order], "v double").repartition(7)
-        totals.add(df.agg(mean_of(F.sum(exact_amount("v")), F.count("v"))).first()[0])
+        totals.add(summed(spark.createDataFrame([(v,) for v in order], "v double").repartition(7)))
     assert totals == {65.0 / 300}
 
 
 @pytest.mark.parametrize("text,amount", [
-    ("1", "1"), ("0.29", "0.29"), ("n/a", None), (None, None), ("-2.5", "-2.5"), ("0.49996", "0.49996"), ("1e15", "1e15")])
-def test_exact_amount(spark, text, amount):
+    ("1", "1"), ("0.29", "0.29"), ("n/a", None), (None, None), ("-2.5", "-2.5"), ("0.49996", "0.49996"), ("1e15", "1e15"), ("-0.1", "-0.1"),
+    ("1.999999999", "1.999999999"), ("0.4999999999", "0.4999999999"), ("1e-9", "1e-9"), ("-1e-16", "-1e-16"), ("123456.78", "123456.78"),
+    ("99999999.99", "99999999.99"), ("12345678.1234567", "12345678.1234567"), ("0.0123456789012345", "0.0123456789012345"),
+    ("123456789012345.6", "123456789012346"), ("0", "0"), ("-0.0", "0"), ("9e17", "9e17")])
+def test_limbs_hold_what_is_written(spark, text, amount):
+    """Numbers of up to fifteen digits, exactly, from text and from doubles."""
     df = spark.createDataFrame([(text,)], "v string")
-    assert df.select(exact_amount("v")).first()[0] == (None if amount is None else Decimal(amount))
+    for given in (df, df.select(F.col("v").try_cast("double").alias("v"))):
+        found = with_amount(given, "v", "v").select("*", decimal_of(*map(F.col, limbs_of("v"))).alias("d")).first()
+        assert found.d == (None if amount is None else Decimal(amount))
+        assert amount is None or abs(found.v_high) <= 10**8 and abs(found.v_low) < 10**8
+
+
+def test_limbs_of_other_types(spark):
+    df = spark.sql("select 12345678901234567.0123456789012345BD as d, 7L as l, cast(null as int) as n, 0.5f as f")
+    for column, amount in {"d": "12345678901234567.0123456789012345", "l": "7", "n": None, "f": "0.5"}.items():
+        found = with_amount(df, column, "v").select(decimal_of(*map(F.col, limbs_of("v")))).first()[0]
+        assert found == (None if amount is None else Decimal(amount)), column
 
 
-def test_an_amount_beyond_the_type_is_an_error(spark):
-    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|NUMERIC_OUT_OF"):
-        spark.createDataFrame([(1e25,)], "v double").select(exact_amount("v")).collect()
+@pytest.mark.parametrize("value", [1e25, -1e19, float("nan"), float("inf"), 1e-17])
+def test_an_amount_that_does_not_fit_is_an_error(spark, value):
+    with pytest.raises(Exception, match="cannot be added exactly"):
+        with_amount(spark.createDataFrame([(value,)], "v double"), "v", "v").collect()
 
 
-@pytest.mark.parametrize("amounts,expected", [([1.9, 1.9, 1.9], 1), ([10.0, 3.0], 6), ([-7.0, 0.0], -3), ([2.99], 2), ([1.99999], 1), ([9e14, 9e14], 900000000000000)])
+def test_sums_equal_decimal_arithmetic(spark):
+    rng = random.Random(9)
+    values = [round(rng.choice([-1, 1]) * 10 ** rng.uniform(-6, 7), rng.randrange(9)) for _ in range(4000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    total = sum(Decimal(repr(v)) for v in values if v)
+    assert summed(df) == float(total) / len(values)
+    assert summed(df, integer_mean_of) == (abs(int(total)) // len(values)) * (1 if total > 0 else -1)
+    exact = float(total / len(values))
+    assert summed(df, reaches, threshold=round(exact - 1e-6, 6)) and not summed(df, reaches, threshold=round(exact + 2e-6, 6))
+
+
+@pytest.mark.parametrize("amounts,expected", [
+    ([1.9, 1.9, 1.9], 1), ([10.0, 3.0], 6), ([-7.0, 0.0], -3), ([2.99], 2), ([1.99999], 1), ([1.999999999], 1), ([-1.999999999], -1),
+    ([9e14, 9e14], 900000000000000), ([-0.5, 0.2], 0), ([5.0, -0.5], 2)])
 def test_integer_means_truncate_twice(spark, amounts, expected):
-    df = spark.createDataFrame([(a,) for a in amounts], "v double")
-    assert df.agg(integer_mean_of(F.sum(exact_amount("v")), F.count("v"))).first()[0] == expected
+    assert summed(spark.createDataFrame([(a,) for a in amounts], "v double"), integer_mean_of) == expected
+
+
+@pytest.mark.parametrize("value,reached", [(0.5, True), (0.4999999999, False), (0.499999999999999, False), (0.50001, True)])
+def test_a_threshold_is_decided_on_exact_numbers(spark, value, reached):
+    assert summed(spark.createDataFrame([(value,)], "v double"), reaches, threshold=0.5) is reached
 
 
 def test_priority_takes_the_first_flag(spark):

@@ -7,7 +7,7 @@ import pytest
 from tests.conftest import rows_of
 from wayprint.constants import ARTICLE_URL_PREFIX, BANNER_URL_PREFIXES, BROWSE_URLS
 from wayprint.plans.catalog import DAILY_JOBS, FULL_JOBS
-from wayprint.plans.facts import FACTS, KEYS, PARTS, Window, other_visits, rejected_page_views
+from wayprint.plans.facts import FACTS, KEYS, LABEL_PARTS, PARTS, Window, other_visits, rejected_page_views
 from wayprint.plans.jobs import run_daily, run_job
 
 DAY = dt.datetime(2024, 1, 14, 4)      # within 2024-01-14 at GMT+8
@@ -42,7 +42,8 @@ def test_jobs_ask_for_what_their_fact_has():
 def test_facts_keep_their_shape_for_any_choice(tables):
     registry = tables()
     for fact in FACTS.values():
-        assert set(fact.rows(registry).columns) == {*KEYS, *fact.parts}
+        assert set(fact.rows(registry).columns) == {*KEYS, *fact.parts} - {*LABEL_PARTS}
+        assert set(fact.rows(registry, parts=fact.parts).columns) == {*KEYS, *fact.parts}
         for subject in fact.subjects:
             rows = fact.rows(registry, Window.day_before(AS_OF), [subject])
             assert [c for c in rows.columns if c in KEYS] == KEYS

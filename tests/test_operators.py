@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of, rows_of
 from wayprint.operators import (
-    apply_increment, attach, attach_spread, count_by, distinct_total, integer_mean_by, label_sums_by,
+    apply_increment, attach, count_by, distinct_total, integer_mean_by, label_sums_by,
     majority_label_by, mean_and_count_by, mean_by, merge_fields, merge_into, only_keys, paired_count_by, prefix_lookup, repeat_flag_by,
     sum_by, total,
 )
@@ -50,15 +50,6 @@ def test_attach_keeps_or_requires(spark):
     assert "LeftOuter" not in plan_of(known)
 
 
-def test_attach_spread_equals_attach(spark):
-    lines = spark.range(1000).selectExpr("id", "case when id % 3 = 0 then 'hot' else cast(id % 50 as string) end as k")
-    lookup = spark.createDataFrame([("hot", 1), ("1", 2), ("2", 3)], "key string, v int")
-    plain = attach(lines, lookup, {"k": "key"})
-    spread = attach_spread(lines, lookup, {"k": "key"}, spread_by="id")
-    assert spread.columns == plain.columns
-    assert rows_of(spread, "id", "k", "v") == rows_of(plain, "id", "k", "v")
-
-
 def test_paired_counts_equal_a_product_of_all_rows(spark):
     left = spark.range(3)
     right = spark.createDataFrame([("u", "a"), ("u", "a"), ("v", "b"), (None, "c")], "user_id string, item_code string")
@@ -116,13 +107,29 @@ def test_means_keep_every_amount(spark):
     assert mean_by(of(1e15, 1.0), ["user_id"], "v", "m").first().m == (1e15 + 1) / 2
     assert mean_by(of("n/a", "4", kind="string"), ["user_id"], "v", "m").first().m == 4.0
     assert integer_mean_by(of(1.99999), ["user_id"], "v", "m").first().m == 1
+    assert integer_mean_by(of(1.999999999), ["user_id"], "v", "m").first().m == 1
+    assert mean_by(of(1e-9), ["user_id"], "v", "m").first().m == 1e-9
+    assert majority_label_by(of("0.4999999999", kind="string"), ["user_id"], "v", "m", ("a", "b")).first().m == "b"
     assert majority_label_by(of("0.49996", kind="string"), ["user_id"], "v", "m", ("a", "b")).first().m == "b"
     assert majority_label_by(of("0", "1", kind="string"), ["user_id"], "v", "m", ("a", "b")).first().m == "a"
     found = mean_and_count_by(of(None, 2.0, 3.0), ["user_id"], "v", "m", "n").first()
     assert (found.m, found.n) == (2.5, 2)
 
 
-def test_keys_of_different_types_are_compared_as_text(spark):
+def test_counted_rows_weigh_as_many(spark):
+    df = spark.createDataFrame([("u", "1", 3), ("u", "0", 4), ("w", "1", 4), ("w", "0", 4)], "user_id string, v string, n bigint")
+    found = majority_label_by(df, ["user_id"], "v", "m", ("a", "b"), rows="n")
+    assert rows_of(found, "user_id", "m") == [("u", "b"), ("w", "a")]
+
+
+def test_numbers_of_any_type_are_compared_as_numbers(spark):
+    lines = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k bigint, line string")
+    for kind in ("decimal(10,2)", "double", "int", "bigint", "string"):
+        heads = spark.createDataFrame([(1, "u")], "key int, user_id string").withColumn("key", F.col("key").cast(kind))
+        assert rows_of(attach(lines, heads, {"k": "key"}), "line", "user_id") == [("a", "u"), ("b", None), ("c", None)], kind
+
+
+def test_numbers_and_text_are_compared_as_text(spark):
     lines = spark.createDataFrame([("1", "a"), ("x", "b")], "k string, line string")
     heads = spark.createDataFrame([(1, "u")], "key bigint, user_id string")
     assert rows_of(attach(lines, heads, {"k": "key"}), "line", "user_id") == [("a", "u"), ("b", None)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from testbed.standins import registry as standin_registry
 from tests.conftest import SF_TINY, rows_of
 from wayprint.plans.catalog import ITEM_JOBS, LABEL_JOB, USER_JOBS
-from wayprint.plans.facts import FACTS, KEYS, PARTS, Window, sum_parts
+from wayprint.plans.facts import KEYS, LABEL_PARTS, PARTS, Window
 from wayprint.plans.jobs import run_job
 from wayprint.plans.profiles import add_states, build_state, fact_rows, item_documents, user_documents
 from wayprint.plans.store import StateStore
@@ -60,8 +60,7 @@ def test_one_document_per_key(items, users):
 
 
 def test_unsummed_rows_give_the_same_user_documents(registry, users):
-    articles = FACTS["visits"].rows(registry, subjects=["article"]).filter("itemized")
-    direct = user_documents(fact_rows(registry), registry, browsed=sum_parts(articles, ["user_id", "item_code"]))
+    direct = user_documents(fact_rows(registry, parts=[*PARTS, *LABEL_PARTS]))
     assert rows_of(direct.select(*users.columns), *users.columns) == rows_of(users, *users.columns)
 
 

@@ -1,44 +1,129 @@
-"""Numbers: amounts that add exactly, means from (sum, count), the priority case."""
+"""Numbers: amounts that add exactly, means from (sum, count), the priority case.
+
+An amount is held in three whole numbers, its *limbs*: the part before the point, eight
+places after it and eight more. Each is a BIGINT, so sums run at the speed of counts,
+do not depend on the order of rows, and carry over only once, when a mean is taken.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from decimal import Decimal
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+LIMBS = ("whole", "high", "low")
+LIMB = 10**8
+# Digits that a double keeps of any decimal number, and the places that the limbs have.
+DIGITS, PLACES = 15, 16
+MOST = 9.0e18
+
+
+def limbs_of(name: str) -> list[str]:
+    """Columns of the amount ``name``."""
+    return [f"{name}_{limb}" for limb in LIMBS]
+
 
-# Eight places, as many as the sources carry, and twenty digits before them. The sum of any
-# number of rows has ten digits more.
-AMOUNT = "decimal(28,8)"
-AMOUNT_SUM = "decimal(38,8)"
+def number_of(df: DataFrame, column: str) -> Column:
+    """The column as a number: text that is no number becomes null, the rest keeps its type."""
+    if isinstance(df.schema[column].dataType, T.NumericType):
+        return F.col(column)
+    return F.col(column).try_cast("double")
 
 
-def exact_amount(col: str | Column) -> Column:
-    """An amount as an exact decimal number.
+def with_amount(df: DataFrame, column: str | Column, name: str) -> DataFrame:
+    """``df`` with the limbs of an amount, all null where there is none.
 
-    Sums of such numbers do not depend on the order of rows. With doubles, a
-    retried task or a different split of days would change the last digits. Text
-    that is no number becomes null; a number too large for ``AMOUNT`` is an error,
-    so that no amount is dropped without notice.
+    A double is taken as the decimal number of fifteen digits nearest to it, which is the
+    number that was written, with sixteen places at most. What cannot be held is an
+    error and never dropped: a number that is too large, not finite, or so small that
+    nothing of it would remain.
     """
-    value = _col(col)
-    is_number = value.try_cast("double").isNotNull()
-    return F.when(is_number, value.cast("double").cast(AMOUNT))
+    if isinstance(column, str):
+        column = number_of(df, column)
+    df = df.withColumn("_amount", column)
+    kind, v = df.schema["_amount"].dataType, F.col("_amount")
+    if isinstance(kind, T.IntegralType):
+        whole, rest = v.cast("bigint"), F.when(v.isNotNull(), F.lit(0).cast("bigint"))
+    elif isinstance(kind, T.DecimalType):
+        whole = v.cast("bigint")
+        rest = F.round((v - whole.cast("decimal(19,0)")).cast("decimal(38,18)"), PLACES) * F.lit(Decimal(10**PLACES))
+        rest = _held(v, rest.cast("bigint"), whole)
+    else:
+        v = v.cast("double")
+        df = df.withColumn("_whole", F.when(F.abs(v) < MOST, v).when(v.isNotNull(), _refused(v)).cast("bigint"))
+        df = df.withColumn("_part", v - F.col("_whole").cast("double"))
+        whole = F.col("_whole")
+        rest = _held(v, _scaled(F.col("_part"), F.abs(v)), whole)
+    names = limbs_of(name)
+    df = df.withColumns({names[0]: whole, "_rest": rest})
+    df = df.withColumns({names[1]: F.expr(f"_rest div {LIMB}L"), names[2]: F.expr(f"_rest % {LIMB}L")})
+    return df.drop("_amount", "_rest", "_whole", "_part")
+
+
+def _scaled(part: Column, size: Column) -> Column:
+    """What lies behind the point of a double in units of the last place, rounded to the digits that it has."""
+    def units(places: int) -> Column:
+        return F.rint(part * F.lit(float(10**places))).cast("bigint") * F.lit(10 ** (PLACES - places)).cast("bigint")
+
+    found = units(0)
+    for before in range(DIGITS - 1, -2, -1):  # digits before the point, -1 for numbers below a tenth
+        found = F.when(size < 10.0**before, units(min(DIGITS - before, PLACES))).otherwise(found)
+    return F.when(part.isNotNull(), found)
+
+
+def _held(v: Column, rest: Column, whole: Column) -> Column:
+    return F.when((v == 0) | (whole != 0) | (rest != 0), rest).when(v.isNotNull(), _refused(v))
 
 
-def mean_of(total: str | Column, n: str | Column) -> Column:
-    """Mean of amounts from their sum; null when there are none."""
-    return F.try_divide(_col(total).cast("double"), _col(n).cast("double"))
+def _refused(v: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("an amount that cannot be added exactly: "), v.cast("string"))).cast("bigint")
+
+
+def carried(whole: Column, high: Column, low: Column) -> tuple[Column, Column, Column]:
+    """Limbs of the same number with high and low from 0 up to, not including, ``LIMB``."""
+    zero = F.lit(0).cast("bigint")
+    high, low = F.coalesce(high, zero), F.coalesce(low, zero)
+    rest = F.pmod(low, F.lit(LIMB))
+    high = high + _times(low - rest)
+    return whole + _times(high - F.pmod(high, F.lit(LIMB))), F.pmod(high, F.lit(LIMB)), rest
+
+
+def _times(multiple: Column) -> Column:
+    return F.call_function("div", multiple, F.lit(LIMB).cast("bigint"))
+
+
+def decimal_of(whole: Column, high: Column, low: Column) -> Column:
+    """The amount as a decimal number, exactly."""
+    whole, high, low = carried(whole, high, low)
+    part = lambda limb, unit: (limb.cast("decimal(10,0)") * F.lit(Decimal(unit))).cast("decimal(36,16)")
+    return whole.cast("decimal(36,16)") + part(high, "0.00000001") + part(low, "0.0000000000000001")
+
+
+def mean_of(whole: str | Column, high: str | Column, low: str | Column, n: str | Column) -> Column:
+    """Mean of amounts from the sums of their limbs; null when there are none.
+
+    The sum is rounded to a double once. Mostly it has eight places and fits a double
+    in units of the last; the quotient by their power of ten is then the same number.
+    """
+    whole, high, low, n = map(_col, (whole, high, low, n))
+    zero = F.lit(0).cast("bigint")
+    short = (F.coalesce(low, zero) == 0) & (F.abs(whole) < 80_000_000) & (F.abs(F.coalesce(high, zero)) < 10**15)
+    units = whole * F.lit(LIMB).cast("bigint") + F.coalesce(high, zero)
+    total = F.when(short, units.cast("double") / F.lit(float(LIMB))).otherwise(decimal_of(whole, high, low).cast("double"))
+    return F.try_divide(total, n.cast("double"))
 
 
-def integer_mean_of(total: str | Column, n: str | Column) -> Column:
+def integer_mean_of(whole: str | Column, high: str | Column, low: str | Column, n: str | Column) -> Column:
     """Truncated sum divided by the count, without a fraction."""
-    return F.call_function("div", _col(total).cast("bigint"), F.nullif(_col(n).cast("bigint"), F.lit(0).cast("bigint")))
+    whole, high, low = carried(*map(_col, (whole, high, low)))
+    truncated = whole + F.when((whole < 0) & ((high > 0) | (low > 0)), 1).otherwise(0)
+    return F.call_function("div", truncated.cast("bigint"), F.nullif(_col(n).cast("bigint"), F.lit(0).cast("bigint")))
 
 
-def reaches(total: str | Column, n: str | Column, threshold: float) -> Column:
+def reaches(whole: str | Column, high: str | Column, low: str | Column, n: str | Column, threshold: float) -> Column:
     """Whether the mean is at least the threshold, decided on exact numbers."""
-    return _col(total) >= F.lit(Decimal(str(threshold))) * _col(n).cast("decimal(20,0)")
+    return decimal_of(*map(_col, (whole, high, low))) >= F.lit(Decimal(str(threshold))) * _col(n).cast("decimal(20,0)")
 
 
 def priority_of(flags: Iterable[tuple[str, int]]) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayprint.constants import PREFERENCE_LABELS, PREFERENCE_THRESHOLD, REPEAT_ABOVE
-from wayprint.functions import exact_amount, integer_mean_of, label_flag, mean_of, present, reaches
+from wayprint.functions import integer_mean_of, label_flag, limbs_of, mean_of, present, reaches, with_amount
 
 
 def count_by(df: DataFrame, keys: Iterable[str], out: str, having: str | None = None) -> DataFrame:
@@ -27,14 +27,12 @@ def mean_by(df: DataFrame, keys: Iterable[str], amount: str, out: str) -> DataFr
 
 def mean_and_count_by(df: DataFrame, keys: Iterable[str], amount: str, mean: str, n: str) -> DataFrame:
     """Mean and number of the amounts, in one pass; text that is no number is no amount."""
-    rows = df.filter(present(amount)).withColumn("_amount", exact_amount(amount)).filter(present("_amount"))
-    return rows.groupBy(*keys).agg(mean_of(F.sum("_amount"), _rows()).alias(mean), _rows().alias(n))
+    return _with_limbs(df, amount).groupBy(*keys).agg(mean_of(*_limb_sums(), _rows()).alias(mean), _rows().alias(n))
 
 
 def integer_mean_by(df: DataFrame, keys: Iterable[str], amount: str, out: str) -> DataFrame:
     """Truncated sum divided by the count, as an integer."""
-    rows = df.filter(present(amount)).withColumn("_amount", exact_amount(amount)).filter(present("_amount"))
-    return rows.groupBy(*keys).agg(integer_mean_of(F.sum("_amount"), _rows()).alias(out))
+    return _with_limbs(df, amount).groupBy(*keys).agg(integer_mean_of(*_limb_sums(), _rows()).alias(out))
 
 
 def repeat_flag_by(df: DataFrame, keys: Iterable[str], out: str, above: int = REPEAT_ABOVE) -> DataFrame:
@@ -55,13 +53,17 @@ def majority_label_by(
     out: str,
     labels: tuple[str, str] = PREFERENCE_LABELS,
     threshold: float = PREFERENCE_THRESHOLD,
+    rows: str | None = None,
 ) -> DataFrame:
     """First label when the mean score reaches the threshold, else the second.
 
-    Scores are numbers held as text; rows without a number do not count.
+    Scores are numbers held as text; rows without a number do not count. ``rows`` names a
+    count of equal rows that each row stands for, when they were counted before.
     """
-    rows = df.withColumn("_score", exact_amount(score)).filter(present("_score"))
-    return rows.groupBy(*keys).agg(F.when(reaches(F.sum("_score"), _rows(), threshold), labels[0]).otherwise(labels[1]).alias(out))
+    n = F.col(rows) if rows else F.lit(1).cast("bigint")
+    scored = _with_limbs(df, score)
+    sums = [F.sum(F.col(limb) * n) for limb in limbs_of("_of")]
+    return scored.groupBy(*keys).agg(F.when(reaches(*sums, F.sum(n), threshold), labels[0]).otherwise(labels[1]).alias(out))
 
 
 def total(df: DataFrame, out: str) -> DataFrame:
@@ -74,5 +76,14 @@ def distinct_total(df: DataFrame, column: str, out: str) -> DataFrame:
     return df.select(column).filter(present(column)).distinct().agg(_rows().alias(out))
 
 
+def _with_limbs(df: DataFrame, amount: str) -> DataFrame:
+    """Rows that have the amount, with its limbs."""
+    return with_amount(df.filter(present(amount)), amount, "_of").filter(present("_of_whole"))
+
+
+def _limb_sums() -> list[Column]:
+    return [F.sum(limb) for limb in limbs_of("_of")]
+
+
 def _rows() -> Column:
     return F.count(F.lit(1))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wayprint.functions import present
 
@@ -15,8 +15,8 @@ def attach(df: DataFrame, other: DataFrame, on: dict[str, str], require: Iterabl
     Rows where a ``require`` column is null afterwards are dropped. When such a
     column comes from ``other``, Spark plans the join as an inner join and
     filters both sides before the shuffle. There are no hints: the join type
-    follows the sizes Spark measures, and a hot key is split at run time. Keys of
-    different types are compared as text.
+    follows the sizes Spark measures, and a hot key is split at run time. Numbers are
+    compared as numbers, whatever their types, and a number with text as text.
     """
     renamed = {right: f"_{right}" for right in on.values()}
     other = other.withColumnsRenamed(renamed)
@@ -26,22 +26,6 @@ def attach(df: DataFrame, other: DataFrame, on: dict[str, str], require: Iterabl
     return joined.filter(present(*required)) if required else joined
 
 
-def attach_spread(
-    df: DataFrame, lookup: DataFrame, on: dict[str, str], spread_by: str, ways: int | None = None,
-) -> DataFrame:
-    """Left outer join with an aggregated lookup, safe when one key holds much of ``df``.
-
-    The rows of a key are spread ``ways`` ways by the value of another column, and
-    the lookup is repeated as often: as many ways as the session has shuffle
-    partitions, if not given. Small lookups are broadcast by Spark as usual.
-    """
-    ways = ways or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = df.withColumn("_salt", F.pmod(F.hash(spread_by), F.lit(ways)))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))
-    repeated = lookup.withColumn("_way", copies)
-    return attach(salted, repeated, {**on, "_salt": "_way"}).drop("_salt")
-
-
 HOST = r"^[^:/]+://[^/]+"
 
 
@@ -78,7 +62,8 @@ def only_keys(df: DataFrame, some: DataFrame, key: str, most: int = MOST_KEYS) -
 
 
 def _same(left: DataFrame, a: str, right: DataFrame, b: str) -> Column:
-    if left.schema[a].dataType == right.schema[b].dataType:
+    one, other = left.schema[a].dataType, right.schema[b].dataType
+    if one == other or isinstance(one, T.NumericType) and isinstance(other, T.NumericType):
         return left[a] == right[b]
     return left[a].cast("string") == right[b].cast("string")
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, functions as F
 
 from wayprint.constants import ARTICLE_LABELS, PREFERENCE_LABELS, PREFERENCE_THRESHOLD, REPEAT_ABOVE
-from wayprint.functions import mean_of, reaches
+from wayprint.functions import limbs_of, mean_of, reaches
 
 
 @dataclass(frozen=True)
@@ -32,12 +32,12 @@ def added(part: str) -> Value:
     return Value((part,), lambda total: total)
 
 
-MEAN_AMOUNT = Value(("amount_sum", "amount_n"), mean_of)
+MEAN_AMOUNT = Value((*limbs_of("amount"), "amount_n"), mean_of)
 REPEATS = Value(("order_n",), lambda n: n > REPEAT_ABOVE)
 PREFERENCE = Value(
-    ("class_sum", "class_n"),
-    lambda total, n: F.when(n.isNotNull(), F.when(reaches(total, n, PREFERENCE_THRESHOLD), PREFERENCE_LABELS[0])
-                            .otherwise(PREFERENCE_LABELS[1])),
+    (*limbs_of("class"), "class_n"),
+    lambda whole, high, low, n: F.when(n.isNotNull(), F.when(
+        reaches(whole, high, low, n, PREFERENCE_THRESHOLD), PREFERENCE_LABELS[0]).otherwise(PREFERENCE_LABELS[1])),
 )
 ORDERS, USES, BROWSES = added("order_n"), added("usage_n"), added("browse_n")
 COLLECTIONS, COMMENTS, PEOPLE, FAVORS = added("collection_n"), added("comment_n"), added("people_sum"), added("favor_n")
@@ -82,7 +82,7 @@ ITEM_JOBS = [
     _item("A09", "parking", "browses", browseNum=BROWSES),
     _item("A10", "parking", "orders", consumptionNum=ORDERS),
     _item("A11", "cip", "orders", averageOrderAmount=MEAN_AMOUNT, consumptionNum=ORDERS),
-    _item("A12", "cip", "transfer_records", usageCounter=USES),
+    _item("A12", "cip", "orders", usageCounter=USES),
     _item("A13", "lounge", "lounges", averageOrderAmount=MEAN_AMOUNT),
     _item("A14", "lounge", "lounges", consumptionNum=ORDERS),
     _item("A15", "lounge", "lounges", peopleConsumption=PEOPLE),
@@ -116,7 +116,7 @@ USER_JOBS = [
     _user("B11", "cip", "orders", CIPAverageOrderAmount=MEAN_AMOUNT),
     _user("B12", "cip", "browses", CIPBrowseNum=BROWSES),
     _user("B13", "cip", "orders", CIPConsumptionNum=ORDERS),
-    _user("B14", "cip", "transfer_records", CIPUsageCounter=USES),
+    _user("B14", "cip", "orders", CIPUsageCounter=USES),
     _user("B15", "parking", "orders", parkingAverageOrderAmount=MEAN_AMOUNT),
     _user("B16", "parking", "browses", parkingBrowseNum=BROWSES),
     _user("B17", "parking", "orders", parkingConsumptionNum=ORDERS),

@@ -1,7 +1,7 @@
 """What happened, per source: one row per event with the parts it adds to a profile.
 
 Every fact has the columns of ``KEYS`` and some of ``PARTS``. All parts are whole
-or exact decimal numbers that add up, so any set of facts, or any set of days, combines by summing:
+numbers that add up, amounts as limbs, so any set of facts, or any set of days, combines by summing:
 
 - ``subject``: what the event is about (rest, lounge, parking, ...)
 - ``itemized``: whether it belongs in a per-item document, or only in the user's
@@ -20,23 +20,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayprint.constants import (
-    ARTICLE_URL_PREFIX, BANNER_URL_PREFIXES, BROWSE_URLS, CODE_CLASSES, COMMENT_SCORE_ABOVE, DAY_ZONE,
+    ARTICLE_LABELS, ARTICLE_URL_PREFIX, BANNER_URL_PREFIXES, BROWSE_URLS, CODE_CLASSES, COMMENT_SCORE_ABOVE, DAY_ZONE,
 )
 from wayprint.functions import (
-    AMOUNT_SUM, any_prefix, exact_amount, explode_codes, has_prefix, in_values, in_window, json_fields, not_blank,
-    prefix_id, present, url_segment,
+    any_prefix, explode_codes, has_prefix, in_values, in_window, json_fields, label_flag, limbs_of, not_blank,
+    number_of, prefix_id, present, url_segment, with_amount,
 )
-from wayprint.operators.joins import attach, attach_spread, only_keys
+from wayprint.operators.joins import attach, only_keys
 from wayprint.sources import Registry
 
 KEYS = ["subject", "itemized", "user_id", "item_code"]
+AMOUNT, CLASS = limbs_of("amount"), limbs_of("class")
 PARTS = [
-    "amount_sum", "amount_n", "order_n", "usage_n", "people_sum", "browse_n",
-    "collection_n", "comment_n", "favor_n", "class_sum", "class_n",
+    *AMOUNT, "amount_n", "order_n", "usage_n", "people_sum", "browse_n",
+    "collection_n", "comment_n", "favor_n", *CLASS, "class_n",
 ]
-
-
-AMOUNT_PARTS = {"amount_sum", "class_sum"}
+# Article labels as parts: they depend on a second table, so a stored state leaves them out.
+LABEL_PARTS = [f"label_{field}" for field in ARTICLE_LABELS]
 
 
 @dataclass(frozen=True)
@@ -73,31 +73,35 @@ class Fact:
         parts: Iterable[str] | None = None,
     ) -> DataFrame:
         subjects = self.subjects if subjects is None else self.subjects & frozenset(subjects)
-        parts = self.parts if parts is None else self.parts & frozenset(parts)
+        parts = self.parts & frozenset(PARTS if parts is None else parts)
         rows = self.build(registry, window, subjects, parts)
         return rows.select(*KEYS, *[
-            F.col(p) if p in rows.columns else no_part(p) for p in PARTS if p in parts
+            F.col(p) if p in rows.columns else no_part(p) for p in [*PARTS, *LABEL_PARTS] if p in parts
         ])
 
 
 def _orders(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str]) -> DataFrame:
-    """Order lines of all products, joined with the order header once.
+    """Order lines of all products and uses of transfers, joined with the order header once.
 
-    Restaurant and parking lines carry their own time; the other products are
-    dated by the header. For a span with a start, such as a day, these come from
-    a join of their own, in which the filter reaches the header scan; and of the
+    Restaurant and parking lines and transfer records carry their own time; the other
+    products are dated by the header. For a span with a start, such as a day, these come
+    from a join of their own, in which the filter reaches the header scan; and of the
     side without a time, only the orders of the span enter the join.
     """
+    counted = parts & {*AMOUNT, "amount_n", "order_n"}
+    classed = "rest" in subjects and parts & {*CLASS, "class_n"}
     own_time, header_time = [], []
-    if "rest" in subjects and parts & {"amount_sum", "amount_n", "order_n", "class_sum", "class_n"}:
-        own_time.append(_restaurant_lines(registry, window, parts))
+    if "rest" in subjects and (counted or classed):
+        own_time.append(_restaurant_lines(registry, window))
     if "rest" in subjects and "usage_n" in parts:
         usage = window.filter(registry.table("td_restaurant_order"), "fd_date")
         own_time.append(_lines(usage, "rest", "fd_code", "fd_restaurant_code", used=True))
     if "parking" in subjects:
         parking = window.filter(registry.table("tb_order_parking"), "create_date")
         own_time.append(_lines(parking.filter(present("parking_code")), "parking", "order_no", "parking_code"))
-    if "cip" in subjects:
+    if "cip" in subjects and "usage_n" in parts:
+        own_time.append(_transfer_uses(registry, window))
+    if "cip" in subjects and counted:
         cip = registry.table("tb_order_cip").filter(present("pro_code"))
         header_time.append(_lines(cip, "cip", "order_no", "pro_code"))
     if "vvip" in subjects:
@@ -107,57 +111,66 @@ def _orders(registry: Registry, window: Window, subjects: frozenset[str], parts:
 
     header = registry.table("tb_order")
     if window.start is None:
-        rows = _with_header(own_time + header_time, header)
+        rows = _with_header([_union(own_time + header_time)], header)
         if window.end is not None:
             in_span = in_window(rows, "cdate", end=window.end, zone=window.zone)
-            rows = rows.filter(~in_values("subject", ["cip", "vvip", "car"]) | in_span)
+            rows = rows.filter(~in_values("subject", ["cip", "vvip", "car"]) | F.col("used") | in_span)
     else:
         joined = []
         if own_time:
             lines = _union(own_time)
-            joined.append(_with_header([lines], only_keys(header, lines, "order_no")))
+            joined.append(_with_header([lines], registry.narrowed("tb_order", lines, "order_no")))
         if header_time:
             head = window.filter(header, "cdate").filter(present("user_id"))
-            joined.append(_with_header([only_keys(_union(header_time), head, "order_no")], head))
+            joined.append(_with_header(_narrowed_lines(registry, header_time, head), head))
         rows = _union(joined)
 
     # An order counts when its header has an amount, whatever number that is.
-    priced_by_header = F.col("subject") != "rest"
-    amount = F.when(priced_by_header, exact_amount("actual_amount"))
-    if "amount" in rows.columns:
-        amount = F.coalesce(amount, F.col("amount"))
-    rows = rows.withColumn("amount_sum", amount)
-    return (
-        rows.filter(~priced_by_header | present("actual_amount"))
-        .withColumn("itemized", in_values("subject", ["rest", "parking", "cip"]))
-        .withColumn("amount_n", _one_if("amount_sum is not null"))
+    by_header = (F.col("subject") != "rest") & ~F.col("used")
+    rows = rows.filter(~by_header | present("actual_amount"))
+    if parts & {*AMOUNT, "amount_n"}:
+        amount = F.when(by_header, number_of(rows, "actual_amount"))
+        if "amount" in rows.columns:
+            amount = F.coalesce(amount, number_of(rows, "amount"))
+        rows = with_amount(rows, amount, "amount").withColumn("amount_n", _one_if("amount_whole is not null"))
+    rows = (
+        rows.withColumn("itemized", in_values("subject", ["rest", "parking", "cip"]))
         .withColumn("order_n", _one_if("not used"))
-        .withColumn("usage_n", _one_if("used"))
+        .withColumn("usage_n", F.when(F.col("used"), F.col("uses")))
     )
+    return _classed(rows, registry, parts) if classed else rows
 
 
 def _with_header(lines: list[DataFrame], header: DataFrame) -> DataFrame:
-    return attach(_union(lines), header, {"order_no": "order_no"}, require=["user_id"])
-
-
-def _restaurant_lines(registry: Registry, window: Window, parts: frozenset[str]) -> DataFrame:
-    lines = window.filter(registry.table("restaurant_order_detail2"), "ordertime")
-    if parts & {"class_sum", "class_n"}:
-        # One row per class, so the join repeats no order line.
-        scores = (
-            registry.table("restaurant_class")
-            .select("fd_class", exact_amount("fd_cls").alias("score"))
-            .filter(present("fd_class", "score"))
-            .groupBy("fd_class")
-            .agg(F.sum("score").alias("class_sum"), F.count(F.lit(1)).alias("class_n"))
-        )
-        lines = attach_spread(lines, scores, {"fd_class": "fd_class"}, spread_by="fd_code")
-    else:
-        lines = lines.withColumns({"class_sum": no_part("class_sum"), "class_n": no_part("class_n")})
-    return _lines(
-        lines.withColumn("amount", exact_amount("xfprice")), "rest", "fd_code", "fd_restaurant_code",
-        extra=["amount", "class_sum", "class_n"],
-    )
+    """Lines with the user of their order; tables laid out by order number are joined one by one."""
+    return _union([attach(df, header, {"order_no": "order_no"}, require=["user_id"]) for df in lines])
+
+
+def _narrowed_lines(registry: Registry, lines: list[DataFrame], head: DataFrame) -> list[DataFrame]:
+    """Lines of full tables for a join with a span's headers that moves no full table."""
+    if registry.laid_out("tb_order_cip", "tb_order_vvip", "tb_order_limousine"):
+        return lines
+    return [only_keys(_union(lines), head, "order_no")]
+
+
+def _restaurant_lines(registry: Registry, window: Window) -> DataFrame:
+    lines = window.filter(registry.table("restaurant_order_detail2"), "ordertime").withColumnRenamed("xfprice", "amount")
+    return _lines(lines, "rest", "fd_code", "fd_restaurant_code", extra=["amount", "fd_class"])
+
+
+def _classed(rows: DataFrame, registry: Registry, parts: frozenset[str]) -> DataFrame:
+    """Order rows with the scores of their dish classes.
+
+    Rows are summed by their keys and class before they meet the classes, so a class
+    enters the join once for each user and restaurant, and a frequent one is no hot key
+    of lines. Classes are one row each, so nothing is repeated.
+    """
+    scores = with_amount(registry.table("restaurant_class"), "fd_cls", "class").filter(present("fd_class", "class_whole"))
+    scores = scores.groupBy("fd_class").agg(*[F.sum(c).alias(f"_{c}") for c in CLASS], F.count(F.lit(1)).alias("_class_n"))
+    sums = [p for p in PARTS if p in parts and p in rows.columns]
+    added = rows.groupBy(*KEYS, "fd_class").agg(*[F.sum(p).alias(p) for p in dict.fromkeys([*sums, "order_n"])])
+    found = attach(added, scores, {"fd_class": "fd_class"})
+    return found.withColumns({c: F.col("order_n") * F.col(f"_{c}") for c in [*CLASS, "class_n"]})
 
 
 def _lines(
@@ -169,30 +182,30 @@ def _lines(
         F.lit(used).alias("used"),
         F.col(order_no).alias("order_no"),
         (F.col(item_code) if item_code else F.lit(None).cast("string")).alias("item_code"),
+        F.expr("1L as uses"),
         *extra,
     )
 
 
-def _transfer_records(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str]) -> DataFrame:
-    """Uses of airport transfers: record, product order and header, all by order number.
+def _transfer_uses(registry: Registry, window: Window) -> DataFrame:
+    """Uses of airport transfers as order lines: records and products that share an order number.
 
     Records are counted per order before they meet the products, so an order with
     many of both is not multiplied out, and so are products per order and code. For
-    a day, only the products and headers of its orders enter the joins.
+    a day, only the products of its orders enter the join.
     """
     records = (
         window.filter(registry.table("tb_order_cip_record"), "create_time")
         .filter(present("order_no")).groupBy("order_no").agg(F.count(F.lit(1)).alias("records"))
     )
-    products = registry.table("tb_order_cip").filter(present("order_no", "pro_code"))
-    header = registry.table("tb_order").select("order_no", "user_id")
+    products = registry.table("tb_order_cip")
     if window.start is not None:
-        products, header = (only_keys(df, records, "order_no") for df in (products, header))
-    products = products.groupBy("order_no", "pro_code").agg(F.count(F.lit(1)).alias("products"))
+        products = registry.narrowed("tb_order_cip", records, "order_no")
+    products = products.filter(present("order_no", "pro_code")).groupBy("order_no", "pro_code").agg(F.count(F.lit(1)).alias("products"))
     used = attach(records, products, {"order_no": "order_no"}, require=["pro_code"])
-    return attach(used, header, {"order_no": "order_no"}, require=["user_id"]).select(
-        F.lit("cip").alias("subject"), F.lit(True).alias("itemized"),
-        "user_id", F.col("pro_code").alias("item_code"), (F.col("records") * F.col("products")).alias("usage_n"),
+    return used.select(
+        F.lit("cip").alias("subject"), F.lit(True).alias("used"), "order_no", F.col("pro_code").alias("item_code"),
+        (F.col("records") * F.col("products")).alias("uses"),
     )
 
 
@@ -203,11 +216,11 @@ def _lounges(registry: Registry, window: Window, subjects: frozenset[str], parts
     visits reaches the join as one row per lounge.
     """
     added = []
-    if parts & {"amount_sum", "amount_n", "usage_n", "people_sum"}:
+    if parts & {*AMOUNT, "amount_n", "usage_n", "people_sum"}:
         visits = window.filter(registry.table("tblconsumerecord"), "consumetime")
         added.append(visits.filter(present("dragoncode", "loungecode")).select(
             "dragoncode", F.col("loungecode").alias("item_code"),
-            exact_amount("point").alias("amount_sum"),
+            F.col("point").alias("amount_whole"),
             _one_if("point is not null").alias("amount_n"),
             F.expr("1L as usage_n"),
             F.when(has_prefix("loungecode", "N"), F.col("personcount")).alias("people_sum"),
@@ -219,7 +232,7 @@ def _lounges(registry: Registry, window: Window, subjects: frozenset[str], parts
     per_card = sum_parts(_union(added), ["dragoncode", "item_code"])
     cards = registry.table("tb_bindrecord")
     if window.start is not None:
-        cards = only_keys(cards, per_card, "dragoncode")
+        cards = registry.narrowed("tb_bindrecord", per_card, "dragoncode")
     return attach(per_card, cards, {"dragoncode": "dragoncode"}, require=["user_id"]).select(
         F.lit("lounge").alias("subject"), F.lit(True).alias("itemized"), "user_id", "item_code",
         *[c for c in per_card.columns if c in PARTS],
@@ -287,7 +300,7 @@ def _visits(registry: Registry, window: Window, subjects: frozenset[str], parts:
     if "banner" in subjects:
         prefixes.extend(BANNER_URL_PREFIXES.values())
     visits = window.filter(registry.table("tbd_visit_url"), "create_time")
-    return (
+    rows = (
         visits.filter(present("user_id") & any_prefix("url", prefixes))
         .select(
             "user_id",
@@ -298,6 +311,24 @@ def _visits(registry: Registry, window: Window, subjects: frozenset[str], parts:
         .withColumn("item_code", F.when(F.col("itemized"), F.col("item_code")))
         .withColumn("browse_n", F.expr("1L"))
     )
+    return _labelled(rows, registry) if parts & frozenset(LABEL_PARTS) else rows
+
+
+def _labelled(rows: DataFrame, registry: Registry) -> DataFrame:
+    """Views with the labels of their articles, summed by user and item first.
+
+    A popular article enters the join once per user and not once per view. An article
+    without a row counts as having no labels; one whose labels are null has no label
+    parts, and neither has a banner or a page without an item.
+    """
+    views = sum_parts(rows, KEYS).withColumn("_article", F.when((F.col("subject") == "article") & F.col("itemized"), F.col("item_code")))
+    labels = registry.table("tbd_belles_lettres").withColumn("_known", F.lit(True))
+    found = attach(views, labels, {"_article": "id"})
+    text = F.when(F.col("_known"), F.col("person_labels")).when(present("_article"), F.lit(""))
+    found = found.withColumn("_labels", text)
+    return found.withColumns({
+        part: label_flag("_labels", label) * F.col("browse_n") for part, label in zip(LABEL_PARTS, ARTICLE_LABELS.values())
+    })
 
 
 def _favors(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str]) -> DataFrame:
@@ -314,24 +345,23 @@ def _fact(build, subjects: Iterable[str], parts: Iterable[str]) -> Fact:
 
 FACTS = {
     "orders": _fact(_orders, ["rest", "parking", "cip", "vvip", "car"],
-                    ["amount_sum", "amount_n", "order_n", "usage_n", "class_sum", "class_n"]),
-    "transfer_records": _fact(_transfer_records, ["cip"], ["usage_n"]),
-    "lounges": _fact(_lounges, ["lounge"], ["amount_sum", "amount_n", "order_n", "usage_n", "people_sum"]),
+                    [*AMOUNT, "amount_n", "order_n", "usage_n", *CLASS, "class_n"]),
+    "lounges": _fact(_lounges, ["lounge"], [*AMOUNT, "amount_n", "order_n", "usage_n", "people_sum"]),
     "browses": _fact(_browses, BROWSE_URLS, ["browse_n"]),
     "collections": _fact(_collections, CODE_CLASSES.values(), ["collection_n"]),
     "comments": _fact(_comments, ["rest", "lounge"], ["comment_n"]),
-    "visits": _fact(_visits, ["article", "banner"], ["browse_n"]),
+    "visits": _fact(_visits, ["article", "banner"], ["browse_n", *LABEL_PARTS]),
     "favors": _fact(_favors, ["article"], ["favor_n"]),
 }
 
 
 def no_part(part: str) -> Column:
-    return F.expr(f"cast(null as {AMOUNT_SUM if part in AMOUNT_PARTS else 'bigint'}) as {part}")
+    return F.expr(f"cast(null as bigint) as {part}")
 
 
 def sum_parts(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Parts added up per key; a part no row has stays null."""
-    parts = [p for p in PARTS if p in df.columns]
+    parts = [p for p in [*PARTS, *LABEL_PARTS] if p in df.columns]
     return df.groupBy(*keys).agg(*[F.expr(f"sum({p}) as {p}") for p in parts])
 
 

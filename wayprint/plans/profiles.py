@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wayprint.functions import any_present, document_id, in_values
 from wayprint.operators import attach
 from wayprint.plans.catalog import ITEM_JOBS, USER_JOBS, Value
-from wayprint.plans.facts import FACTS, KEYS, PARTS, Window, no_part, sum_parts
+from wayprint.plans.facts import FACTS, KEYS, LABEL_PARTS, PARTS, Window, no_part, sum_parts
 from wayprint.plans.jobs import article_label_sums
 from wayprint.sources import Registry
 
@@ -24,7 +24,10 @@ from wayprint.sources import Registry
 def fact_rows(
     registry: Registry, window: Window = Window(), facts: Iterable[str] | None = None, parts: Iterable[str] | None = None,
 ) -> DataFrame:
-    """The rows of all facts together, not summed. Of sources, only what ``parts`` need is read."""
+    """The rows of all facts together, not summed. Of sources, only what ``parts`` need is read.
+
+    With ``LABEL_PARTS`` among them, views carry the labels of their articles.
+    """
     return _together([FACTS[n].rows(registry, window, parts=parts) for n in (FACTS if facts is None else facts)])
 
 
@@ -46,7 +49,8 @@ def add_states(*states: DataFrame) -> DataFrame:
 
 def _together(rows: Iterable[DataFrame]) -> DataFrame:
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
-    return union.select(*KEYS, *[p if p in union.columns else no_part(p) for p in PARTS])
+    labels = [p for p in LABEL_PARTS if p in union.columns]
+    return union.select(*KEYS, *[p if p in union.columns else no_part(p) for p in PARTS], *labels)
 
 
 def item_documents(state: DataFrame) -> DataFrame:
@@ -65,35 +69,33 @@ def item_documents(state: DataFrame) -> DataFrame:
     return documents.filter(any_present(*fields))
 
 
-def user_documents(
-    state: DataFrame, registry: Registry | None = None, browsed: DataFrame | None = None,
-) -> DataFrame:
+def user_documents(state: DataFrame, registry: Registry | None = None) -> DataFrame:
     """One document per user with the fields of all user jobs.
 
-    ``state`` may also be unsummed fact rows, when no item documents are wanted.
-    With a registry, the sums of article labels are added. They follow from the
-    views per user and article: ``browsed``, or else the article rows of the state.
+    ``state`` may also be unsummed fact rows, when no item documents are wanted. Sums of
+    article labels are taken from its label parts where it has them. A stored state has
+    none, because articles may be relabelled; with a registry the sums are then made
+    from its article rows and the labels of today.
     """
     per_subject = sum_parts(state, ["user_id", "subject"])
     wanted = {(job.subject, part) for job in USER_JOBS for part in job.parts}
-    summed = per_subject.groupBy("user_id").agg(*[
-        F.max(F.when(F.col("subject") == subject, F.col(part))).alias(f"{subject}_{part}")
-        for subject, part in sorted(wanted)
-    ])
+    labels = [p for p in LABEL_PARTS if p in state.columns]
+    summed = per_subject.groupBy("user_id").agg(
+        *[F.max(F.when(F.col("subject") == subject, F.col(part))).alias(f"{subject}_{part}") for subject, part in sorted(wanted)],
+        *[F.max(part).alias(part) for part in labels])
     fields = {
         field: value.column(_named(job.subject))
         for job in USER_JOBS for field, value in job.fields.items()
     }
+    fields |= {part.removeprefix("label_"): F.col(part) for part in labels}
     documents = summed.select(
         document_id("user_id").alias("id"), "user_id", *[c.alias(f) for f, c in fields.items()],
     )
     names = list(fields)
-    if registry is not None:
-        if browsed is None:
-            browsed = state.filter("subject = 'article' and itemized and browse_n is not null")
-        labels = article_label_sums(browsed, registry)
-        documents = attach(documents, labels, {"user_id": "user_id"})
-        names += [c for c in labels.columns if c != "user_id"]
+    if registry is not None and not labels:
+        found = article_label_sums(state.filter("subject = 'article' and itemized and browse_n is not null"), registry)
+        documents = attach(documents, found, {"user_id": "user_id"})
+        names += [c for c in found.columns if c != "user_id"]
     return documents.filter(any_present(*names))
 
 

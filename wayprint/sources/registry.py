@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wayprint.operators.joins import only_keys
 from wayprint.sources.schemas import COLUMNS, DATABASE, POSITIONS
 
 Loader = Callable[[SparkSession, str], DataFrame]
@@ -64,16 +65,30 @@ class Registry:
     """Gives each source table with the declared columns, by name.
 
     ``databases`` maps the logical names ``business``, ``business2`` and ``log``
-    to loaders; one loader may serve all three.
+    to loaders; one loader may serve all three. ``layout`` names the join key by which
+    tables are bucketed, where they are (:mod:`wayprint.sources.buckets`).
     """
 
-    def __init__(self, spark: SparkSession, databases: Mapping[str, Loader] | Loader):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, databases: Mapping[str, Loader] | Loader, layout: Mapping[str, str] | None = None):
+        self.spark, self._layout = spark, dict(layout or {})
         if callable(databases):
             databases = {name: databases for name in set(DATABASE.values())}
         self._databases = dict(databases)
         self._tables: dict[str, DataFrame] = {}
 
+    def laid_out(self, *names: str) -> bool:
+        """Whether all these tables are bucketed by their join keys."""
+        return all(name in self._layout for name in names)
+
+    def narrowed(self, name: str, some: DataFrame, key: str) -> DataFrame:
+        """A table for an inner join by ``key`` with the rows of a span of days.
+
+        A table that is bucketed by the key is read bucket by bucket in the join and
+        needs no narrowing; of another one only the span's keys are kept.
+        """
+        full = self.table(name)
+        return full if self._layout.get(name) == key else only_keys(full, some, key)
+
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             raw = self._databases[DATABASE[name]](self.spark, name)
