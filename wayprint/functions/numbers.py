@@ -17,6 +17,8 @@ LIMB = 10**8
 # Digits that a double keeps of any decimal number, and the places that the limbs have.
 DIGITS, PLACES = 15, 16
 MOST = 9.0e18
+# Below this a double has eight places beside its other digits; its error is this share of it.
+EIGHT_PLACES_BELOW, ERROR = 4.0e6, 2.0**-50
 
 
 def limbs_of(name: str) -> list[str]:
@@ -53,23 +55,29 @@ def with_amount(df: DataFrame, column: str | Column, name: str) -> DataFrame:
         v = v.cast("double")
         df = df.withColumn("_whole", F.when(F.abs(v) < MOST, v).when(v.isNotNull(), _refused(v)).cast("bigint"))
         df = df.withColumn("_part", v - F.col("_whole").cast("double"))
-        whole = F.col("_whole")
-        rest = _held(v, _scaled(F.col("_part"), F.abs(v)), whole)
+        whole, rest = F.col("_whole"), _scaled(F.col("_part"), v)
     names = limbs_of(name)
     df = df.withColumns({names[0]: whole, "_rest": rest})
-    df = df.withColumns({names[1]: F.expr(f"_rest div {LIMB}L"), names[2]: F.expr(f"_rest % {LIMB}L")})
-    return df.drop("_amount", "_rest", "_whole", "_part")
+    high, low = F.expr(f"_rest div {LIMB}L"), F.expr(f"_rest % {LIMB}L")
+    if "_part" in df.columns:
+        high = F.coalesce(high, F.rint(F.col("_part") * F.lit(float(LIMB))).cast("bigint"))
+        low = F.coalesce(low, F.when(F.col("_part").isNotNull(), F.lit(0).cast("bigint")))
+    return df.withColumns({names[1]: high, names[2]: low}).drop("_amount", "_rest", "_whole", "_part")
 
 
-def _scaled(part: Column, size: Column) -> Column:
-    """What lies behind the point of a double in units of the last place, rounded to the digits that it has."""
-    def units(places: int) -> Column:
-        return F.rint(part * F.lit(float(10**places))).cast("bigint") * F.lit(10 ** (PLACES - places)).cast("bigint")
+def _scaled(part: Column, v: Column) -> Column:
+    """What lies behind the point of a double in units of the last place, rounded to the digits that it has.
 
-    found = units(0)
-    for before in range(DIGITS - 1, -2, -1):  # digits before the point, -1 for numbers below a tenth
-        found = F.when(size < 10.0**before, units(min(DIGITS - before, PLACES))).otherwise(found)
-    return F.when(part.isNotNull(), found)
+    Null for a number of up to eight places, which is nearly every amount: it differs from
+    a whole number of units of the eighth place by no more than a double's error.
+    """
+    size, units = F.abs(v), part * F.lit(float(LIMB))
+    plain = (size < EIGHT_PLACES_BELOW) & (F.abs(units - F.rint(units)) <= size * F.lit(LIMB * ERROR))
+    places = F.greatest(F.least(F.lit(DIGITS - 1) - F.floor(F.log10(size)), F.lit(PLACES)), F.lit(0)).cast("int")
+    up = F.get(F.array(*[F.lit(float(10**p)) for p in range(PLACES + 1)]), places)
+    down = F.get(F.array(*[F.lit(10 ** (PLACES - p)).cast("bigint") for p in range(PLACES + 1)]), places)
+    found = F.rint(part * up).cast("bigint") * down
+    return F.when(part.isNull() | plain, F.lit(None).cast("bigint")).otherwise(_held(v, found, v.cast("bigint")))
 
 
 def _held(v: Column, rest: Column, whole: Column) -> Column:
@@ -95,8 +103,9 @@ def _times(multiple: Column) -> Column:
 
 def decimal_of(whole: Column, high: Column, low: Column) -> Column:
     """The amount as a decimal number, exactly."""
-    whole, high, low = carried(whole, high, low)
-    part = lambda limb, unit: (limb.cast("decimal(10,0)") * F.lit(Decimal(unit))).cast("decimal(36,16)")
+    def part(limb: Column, unit: str) -> Column:
+        return F.coalesce(limb, F.lit(0).cast("bigint")).cast("decimal(19,0)") * F.lit(Decimal(unit))
+
     return whole.cast("decimal(36,16)") + part(high, "0.00000001") + part(low, "0.0000000000000001")
 
 

@@ -166,7 +166,9 @@ def _classed(rows: DataFrame, registry: Registry, parts: frozenset[str]) -> Data
     of lines. Classes are one row each, so nothing is repeated.
     """
     scores = with_amount(registry.table("restaurant_class"), "fd_cls", "class").filter(present("fd_class", "class_whole"))
-    scores = scores.groupBy("fd_class").agg(*[F.sum(c).alias(f"_{c}") for c in CLASS], F.count(F.lit(1)).alias("_class_n"))
+    # Grouped by a second column, so that the join shuffles both sides itself: only then does Spark split hot keys.
+    scores = scores.groupBy("fd_class", F.hash("fd_class")).agg(
+        *[F.sum(c).alias(f"_{c}") for c in CLASS], F.count(F.lit(1)).alias("_class_n")).drop("hash(fd_class)")
     sums = [p for p in PARTS if p in parts and p in rows.columns]
     added = rows.groupBy(*KEYS, "fd_class").agg(*[F.sum(p).alias(p) for p in dict.fromkeys([*sums, "order_n"])])
     found = attach(added, scores, {"fd_class": "fd_class"})
