@@ -297,6 +297,10 @@ PATTERNS = {
                       "count(*) AS orders_num FROM orders GROUP BY 1) o ON u.user_id = o.user_id "
                       "LEFT JOIN (SELECT CAST(user_id AS VARCHAR) AS user_id, max(ts) AS last_seen, "
                       "count(*) AS events_num FROM events GROUP BY 1) e ON u.user_id = e.user_id",
+    "p_merge_day": "SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS item_code, max(ts) AS last_seen, "
+                   "nullif(count(*) FILTER (ts < TIMESTAMP '2024-01-15 00:00:00'), 0) AS events_num, "
+                   "nullif(count(*) FILTER (ts >= TIMESTAMP '2024-01-15 00:00:00'), 0) AS day_num "
+                   "FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00' GROUP BY 1, 2",
     "p_banner_table": "WITH p AS (SELECT DISTINCT unnest([" + ", ".join(f"regexp_extract(url, '{p}')" for p in PAGE_TABLE) + "]) AS prefix FROM pages), "
         "m AS (SELECT g.page_id, max_by(p.prefix, length(p.prefix)) AS item_code FROM pages g JOIN p ON p.prefix <> '' AND starts_with(g.url, p.prefix) GROUP BY 1) "
         "SELECT item_code, count(*) AS browse_num FROM m GROUP BY 1",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,7 +24,7 @@ from wayprint.plans.catalog import DAILY_JOBS, FULL_JOBS, ITEM_JOBS, USER_JOBS
 from wayprint.plans.facts import LABEL_PARTS, PARTS, Window, other_visits, rejected_page_views
 from wayprint.plans.jobs import run_daily, run_job, table_counts
 from wayprint.plans.profiles import ITEM_PARTS, build_state, fact_rows, item_documents, user_documents
-from wayprint.plans.store import StateStore, shared_root
+from wayprint.plans.store import DocumentStore, scratch_root
 from wayprint.sources import documents_table, format_row, query_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,13 +190,34 @@ def p_merge_stored(spark, sf):
     return merge_into(stored, changes, ["user_id"])
 
 
+def _seen(rows: DataFrame, count: str) -> DataFrame:
+    return rows.groupBy("user_id").agg(F.max("at").alias("last_seen"), F.count(F.lit(1)).alias(count))
+
+
 def p_merge_documents(spark, sf):
     """A stored profile of users, and a version of it with another source's fields merged in."""
     orders, events = _per_user(spark, sf)
-    store = StateStore(spark, f"{shared_root(spark)}/{uuid.uuid4().hex}")
-    store.write_documents(orders.groupBy("user_id").agg(F.max("at").alias("last_seen"), F.count(F.lit(1)).alias("orders_num")), "users")
-    store.merge_documents(events.groupBy("user_id").agg(F.max("at").alias("last_seen"), F.count(F.lit(1)).alias("events_num")), "users", ["user_id"])
-    return store.read_documents("users")
+    store = DocumentStore(spark, scratch_root(spark), ["user_id"], buckets=8)
+    store.merge(_seen(orders, "orders_num"))
+    store.merge(_seen(events, "events_num"))
+    return store.read()
+
+
+def p_merge_day(spark, sf):
+    """Stored documents of users and event types, and a version with one day's users merged in.
+
+    Only the buckets of that day's keys are written anew: the manifest of the second
+    version names the first one's folders for all others.
+    """
+    events = load("events", spark, sf).select(
+        F.col("user_id").cast("string").alias("user_id"), F.col("event_type").alias("item_code"), F.col("ts").alias("at"))
+    as_of = dt.date(2024, 1, 16)
+    before = events.filter(in_window(events, "at", end=as_of - dt.timedelta(days=1)))
+    day = events.filter(day_window(events, "at", as_of))
+    store = DocumentStore(spark, scratch_root(spark), USER_ITEM, buckets=256)
+    store.merge(before.groupBy(*USER_ITEM).agg(F.max("at").alias("last_seen"), F.count(F.lit(1)).alias("events_num")))
+    store.merge(day.groupBy(*USER_ITEM).agg(F.max("at").alias("last_seen"), F.count(F.lit(1)).alias("day_num")))
+    return store.read()
 
 
 def p_total(spark, sf):
@@ -240,7 +260,7 @@ PATTERNS: dict[str, Query] = {
     f.__name__: f for f in (
         p_count, p_avg, p_avg_count, p_sum, p_flag, p_intavg, p_having, p_count3, p_cross, p_browse, p_prefix,
         p_explode, p_urlseg, p_banner, p_banner_table, p_anti, p_labels, p_label_rows, p_case, p_pref, p_inc, p_merge,
-        p_merge_stored, p_merge_documents, p_total, p_infer,
+        p_merge_stored, p_merge_documents, p_merge_day, p_total, p_infer,
     )
 }
 

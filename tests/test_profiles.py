@@ -103,14 +103,16 @@ def test_documents_are_written_by_collection(spark, items, tmp_path):
 
 def test_an_interrupted_write_leaves_the_version_before(spark, tmp_path):
     store = StateStore(spark, str(tmp_path))
-    store.write_documents(spark.createDataFrame([("1", 1, "x")], "user_id string, n int, name string"), "users")
+    store.merge_documents(spark.createDataFrame([("1", 1, "x")], "user_id string, n int, name string"), "users", ["user_id"])
     broken = spark.range(4).selectExpr("cast(id as string) as user_id", "cast(if(id = 3, raise_error('stop'), id) as int) as n")
     with pytest.raises(Exception, match="stop"):
         store.merge_documents(broken, "users", ["user_id"])
-    assert rows_of(store.read_documents("users"), "user_id", "n", "name") == [("1", 1, "x")]
+    assert rows_of(store.read_merged("users", ["user_id"]), "user_id", "n", "name") == [("1", 1, "x")]
     store.merge_documents(spark.createDataFrame([("1", 5), ("2", 6)], "user_id string, n int"), "users", ["user_id"])
-    assert rows_of(store.read_documents("users"), "user_id", "n", "name") == [("1", 5, "x"), ("2", 6, None)]
+    assert rows_of(store.read_merged("users", ["user_id"]), "user_id", "n", "name") == [("1", 5, "x"), ("2", 6, None)]
+    store.write_documents(spark.createDataFrame([("1", 5)], "user_id string, n int"), "users")
+    store.write_documents(spark.createDataFrame([("2", 6)], "user_id string, n int"), "users")
     store.tables.discard_old("documents/users")
-    assert rows_of(store.read_documents("users"), "user_id", "n") == [("1", 5), ("2", 6)]
+    assert rows_of(store.read_documents("users"), "user_id", "n") == [("2", 6)]
     with pytest.raises(FileNotFoundError):
         store.read_documents("others")
