@@ -6,7 +6,7 @@ definitions of the stand-in tables are shared.
 
 from __future__ import annotations
 
-from testbed.standins import with_sources
+from testbed.standins import DOCUMENTS, with_sources
 from wayprint.constants import ARTICLE_LABELS, ARTICLE_URL_PREFIX, BANNER_URL_PREFIXES, BROWSE_URLS
 
 ORDER_DAY, EVENT_DAY = "1998-06-16", "2024-01-16"
@@ -319,6 +319,9 @@ PATTERNS = {
     "document_values": with_sources("user_flight") +
         "\nSELECT field, count(json_extract_string(doc, '$.' || field)) AS documents, count(DISTINCT json_extract_string(doc, '$.' || field)) AS values "
         "FROM user_flight CROSS JOIN (SELECT DISTINCT unnest(json_keys(doc)) AS field FROM user_flight) GROUP BY field",
+    "document_files": "WITH d AS (SELECT event_id % 101 = 5 AS rejected, " + DOCUMENTS.columns["doc"] + " AS doc FROM events) "
+        "SELECT CASE WHEN NOT rejected THEN json_extract_string(doc, '$.isStop') END AS \"isStop\", rejected, count(*) AS lines, "
+        "count(CASE WHEN NOT rejected THEN json_extract_string(doc, '$.userId') END) AS users FROM d GROUP BY 1, 2",
     "other_visits": with_sources("tbd_visit_url") +
         "\nSELECT user_id, count(*) AS browse_num FROM tbd_visit_url "
         f"WHERE user_id IS NOT NULL AND url IS NOT NULL AND {_BANNER_CASE} IS NULL GROUP BY user_id",

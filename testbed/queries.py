@@ -25,7 +25,10 @@ from wayprint.plans.facts import LABEL_PARTS, PARTS, Window, other_visits, rejec
 from wayprint.plans.jobs import run_daily, run_job, table_counts
 from wayprint.plans.profiles import ITEM_PARTS, build_state, fact_rows, item_documents, user_documents
 from wayprint.plans.store import DocumentStore, scratch_root
-from wayprint.sources import documents_table, format_row, query_documents
+from wayprint.sources import (
+    document_values as values_of_documents, documents_table, format_row, query_documents, read_documents, variant_documents,
+)
+from wayprint.sources.documents import REJECTED
 
 Query = Callable[[SparkSession, str], DataFrame]
 USER_ITEM = ["user_id", "item_code"]
@@ -227,8 +230,10 @@ def p_total(spark, sf):
 
 
 def p_infer(spark, sf):
-    documents = documents_table(load("events", spark, sf), "props")
-    return query_documents(documents, "SELECT k FROM {documents}").select(format_row(k="k").alias("line"))
+    """Documents by whatever fields they turn out to have: one scan, no schema beforehand."""
+    documents = variant_documents(load("events", spark, sf), "props")
+    found = query_documents(documents, "SELECT try_variant_get(doc, '$.k', 'string') AS k FROM {documents}")
+    return found.select(format_row(k="k").alias("line"))
 
 
 def e01_document_query(spark, sf):
@@ -239,11 +244,21 @@ def e01_document_query(spark, sf):
 
 def document_values(spark, sf):
     """Values of every field that any document has, whichever document comes first."""
-    table = documents_table(load(DOCUMENTS.base, spark, sf).selectExpr(f"{DOCUMENTS.columns['doc']} AS doc"), "doc")
-    return table.unpivot([], table.columns, "field", "value").groupBy("field").agg(
+    stored = load(DOCUMENTS.base, spark, sf).selectExpr(f"{DOCUMENTS.columns['doc']} AS doc")
+    return values_of_documents(stored, "doc").groupBy("field").agg(
         F.count("value").alias("documents"), F.count_distinct("value").alias("values"))
 
 
+def document_files(spark, sf):
+    """Documents written as JSON lines, some of them broken, and read back; broken ones are counted."""
+    path = f"{scratch_root(spark)}/documents"
+    stored = load(DOCUMENTS.base, spark, sf)
+    stored.selectExpr(f"CASE WHEN event_id % 101 = 5 THEN concat('{{', event_type) ELSE {DOCUMENTS.columns['doc']} END AS value").write.text(path)
+    read = read_documents(spark, path, ["userId", "isStop"])
+    return read.withColumn("rejected", F.col(REJECTED).isNotNull()).groupBy("isStop", "rejected").agg(
+        F.count(F.lit(1)).alias("lines"), F.count("userId").alias("users"))
+
+
 def e02_table_counts(spark, sf):
     return table_counts(registry(spark, sf))
 
@@ -296,7 +311,7 @@ def all_queries() -> dict[str, Query]:
     found = dict(PATTERNS)
     found.update({_name(j): _job(j) for j in FULL_JOBS})
     found.update({_name(j, True): _daily(j) for j in DAILY_JOBS})
-    found.update({q.__name__: q for q in (e01_document_query, e02_table_counts, document_values)})
+    found.update({q.__name__: q for q in (e01_document_query, e02_table_counts, document_values, document_files)})
     found["item_profiles"] = item_profiles
     found["user_profiles"] = user_profiles
     found["rejected_page_views"] = lambda spark, sf: rejected_page_views(registry(spark, sf))

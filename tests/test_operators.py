@@ -60,6 +60,7 @@ def test_paired_counts_equal_a_product_of_all_rows(spark):
         expected[key] = expected.get(key, 0) + 1
     assert {(r.user_id, r.item_code): r.n for r in found.collect()} == expected
     assert not any(word in plan_of(found) for word in ("NestedLoop", "Cartesian"))
+
     assert paired_count_by(spark.range(0), right, KEYS, "n").count() == 0
 
 
@@ -149,3 +150,12 @@ def test_prefixes_from_a_table(spark):
     found = prefix_lookup(spark.createDataFrame([(u,) for u in urls], "url string"), "url", prefixes, "hit")
     assert {r.url: r.hit for r in found.collect()} == dict(zip(urls, ["axy", "a", None, None, None, "bz"]))
     assert not any(word in plan_of(found) for word in ("NestedLoop", "Cartesian"))
+
+
+def test_a_host_with_very_many_prefixes(spark):
+    """No row holds the prefixes of a host, and a URL meets as many cuts as prefixes have lengths."""
+    prefixes = spark.range(100_000).selectExpr("concat('https://a.com/p', id, '/') as prefix", "cast(id as string) as id")
+    prefixes = prefixes.unionByName(spark.createDataFrame([("https://a.com", "host"), ("https://a.com/p7/", "7b")], "prefix string, id string"))
+    urls = spark.range(3000).selectExpr("id", "case when id % 3 = 0 then 'https://a.com/hot?x' else concat('https://a.com/p', id, '/q?y=1') end as url")
+    found = {r.id: r.hit for r in prefix_lookup(urls, "url", prefixes, "hit").collect()}
+    assert found == {i: "host" if i % 3 == 0 else "7b" if i == 7 else str(i) for i in range(3000)}

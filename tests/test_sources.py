@@ -2,10 +2,10 @@ import json
 
 import pytest
 
-from tests.conftest import TABLES, rows_of
+from tests.conftest import TABLES, plan_of, rows_of
 from wayprint.sources import (
-    ONE_TASK, Registry, Split, documents_table, document_fields, format_row, frames, jdbc_database, parquet_directory,
-    query_documents, read_documents,
+    ONE_TASK, Registry, Split, count_rejected, document_values, documents_table, document_fields, format_row, frames, jdbc_database,
+    parquet_directory, query_documents, read_documents, variant_documents,
 )
 from wayprint.sources.schemas import COLUMNS, DATABASE
 
@@ -80,3 +80,28 @@ def test_documents_in_a_text_column(spark):
     assert document_fields(texts, "doc") == ["a", "b", "c"]
     assert {tuple(r) for r in documents_table(texts, "doc").collect()} == {("1", "x", None), (None, "y", "2"), (None, None, None)}
     assert documents_table(texts, "doc", ["c"]).columns == ["c"]
+    assert document_fields(texts.limit(0), "doc") == [] == document_fields(texts.filter("doc = 'no json'"), "doc")
+
+
+def test_fields_of_any_name(spark):
+    names = ["it's", 'say "x"', "a.b", "with space", "$", "[0]", "both ' and \""]
+    texts = spark.createDataFrame([(json.dumps({n: i for i, n in enumerate(names)}),), ("[1]",), ("3",)], "doc string").coalesce(1)
+    assert document_fields(texts, "doc") == sorted(names)
+    assert tuple(documents_table(texts, "doc", names).first()) == tuple(map(str, range(len(names))))
+    assert sorted(tuple(r) for r in document_values(texts, "doc").collect()) == sorted((n, str(i)) for i, n in enumerate(names))
+
+
+def test_values_take_one_scan(spark, tmp_path):
+    spark.range(3).selectExpr("concat('{\"a\":', id, '}') as doc").write.parquet(str(tmp_path / "d"))
+    stored = spark.read.parquet(str(tmp_path / "d"))
+    assert plan_of(document_values(stored, "doc")).count("FileScan") == 1
+    assert plan_of(query_documents(variant_documents(stored, "doc"), "select try_variant_get(doc, '$.a', 'int') a from {documents}")).count("FileScan") == 1
+
+
+def test_broken_lines_are_kept_and_counted(spark, tmp_path):
+    path = tmp_path / "documents.json"
+    path.write_text('{"userId":1,"isStop":true}\n{"userId":\nno json\n{"userId":"2"}\n[5\n')
+    for read in (read_documents(spark, str(path)), read_documents(spark, str(path), ["userId", "isStop"])):
+        assert rows_of(read, "userId", "isStop", "_rejected") == sorted([
+            ("1", "true", None), ("2", None, None), (None, None, "no json"), (None, None, '{"userId":'), (None, None, "[5")], key=str)
+        assert rows_of(count_rejected(read.cache()), "documents", "rejected") == [(2, 3)]

@@ -32,16 +32,24 @@ HOST = r"^[^:/]+://[^/]+"
 def prefix_lookup(df: DataFrame, url: str, prefixes: DataFrame, out: str) -> DataFrame:
     """``df`` with the id of the longest prefix of its URL, from a table ``prefix, id``.
 
-    A prefix names a whole scheme and host, on which the tables are joined, and may go
-    on with a path. All prefixes of a host are one row, longest first, so no row of
-    ``df`` is repeated; Spark broadcasts the table by its measured size or not at all.
+    A prefix names a whole scheme and host and may go on with any text. Each distinct
+    URL is cut at the lengths that prefixes of its host have, and the cuts meet the
+    prefixes in an equi-join; of the hits the longest stays. So the work grows with the
+    different lengths a host has, which URLs bound, and not with the number of its
+    prefixes, and every table is spread by whole URLs or prefixes. Of a prefix given
+    several times the greatest id counts.
     """
-    hosts = prefixes.filter(present("prefix")).select(F.regexp_extract("prefix", HOST, 0).alias("_host"), "prefix", "id")
-    longest_first = F.sort_array(F.collect_list(F.struct(F.length("prefix").alias("size"), "prefix", "id")), asc=False)
-    hosts = hosts.filter("_host <> ''").groupBy("_host").agg(longest_first.alias("_prefixes"))
-    found = attach(df.withColumn("_of", F.regexp_extract(url, HOST, 0)), hosts, {"_of": "_host"})
-    hits = F.filter("_prefixes", lambda p: F.startswith(F.col(url), p["prefix"]))
-    return found.withColumn(out, F.get(hits, F.lit(0))["id"]).drop("_of", "_prefixes")
+    known = prefixes.filter(present("prefix")).withColumn("_host", F.regexp_extract("prefix", HOST, 0)).filter("_host <> ''")
+    known = known.groupBy("_host", "prefix").agg(F.max("id").alias("id"))
+    lengths = known.groupBy("_host").agg(F.collect_set(F.length("prefix")).alias("_lengths"))
+    urls = df.select(F.col(url).alias("_url")).filter(present("_url")).distinct()
+    urls = attach(urls.withColumn("_of", F.regexp_extract("_url", HOST, 0)), lengths, {"_of": "_host"}, require=["_lengths"])
+    fitting = F.filter("_lengths", lambda n: n <= F.length("_url"))
+    cuts = urls.select("_url", F.explode(F.transform(fitting, lambda n: F.substring(F.col("_url"), F.lit(1), n))).alias("_cut"))
+    hits = attach(cuts, known.select("prefix", "id"), {"_cut": "prefix"}, require=["id"])
+    longest = hits.groupBy("_url").agg(F.max_by("id", F.length("_cut")).alias("_hit"))
+    found = attach(df, longest.withColumnRenamed("_url", "_found"), {url: "_found"})
+    return found.drop(out).withColumnRenamed("_hit", out)
 
 
 # Keys that are broadcast at most: some tens of megabytes.
