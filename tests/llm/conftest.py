@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 # Columns beside id and text that carry names the operators use themselves.
-CLASHING = ["key", "first", "spans", "k1", "score", "label", "n", "start", "length", "root", "node", "bucket", "words"]
+CLASHING = ["__at", "__doc", "__k1", "__spans", "__copy", "row", "parts", "key", "first", "spans", "k1", "score", "label", "n", "start", "length", "root", "node", "bucket", "words"]
 LONG = " ".join(f"word{i % 977}" for i in range(30_000))
 PROSE = "A plain text of some words about nothing, long enough to count as text. It goes on for a while."
 EDGES = [

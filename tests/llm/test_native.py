@@ -88,6 +88,8 @@ def test_lines_on_edge_cases(edges, nothing):
     assert by[1] == [PROSE] and by[2] == [""] and by[3] == [None] and by[5] == [" \n\t "] and by[6] == [LONG, LONG]
     assert by[10] == ["the same line\n"] and by[8] == ["日本語のテキスト。" * 12]
     assert line_dedup.dedup_lines(nothing).count() == 0
+    again = line_dedup.dedup_lines(found, lines="__lines", gone="before").columns
+    assert again == [c for c in found.columns if c != "__lines"] + ["__lines", "before"]
 
 
 def test_a_chain_of_links_is_one_component(spark):

@@ -41,3 +41,14 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
         if after.filter("root <> before").isEmpty():
             discard(both)
             return roots
+
+
+def united(roots: DataFrame, links: DataFrame, left: str, right: str) -> DataFrame:
+    """``node, root`` after further links between roots; a node without a row is its own root.
+
+    Only the roots are joined anew, however many nodes they stand for.
+    """
+    joined = components(links.select(left, right).distinct(), left, right)
+    moved = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("further")), "root", "left")
+    moved = moved.select("node", F.coalesce("further", "root").alias("root"))
+    return stored(moved.unionByName(joined.join(roots, "node", "left_anti")), "roots")
