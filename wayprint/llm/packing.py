@@ -21,9 +21,9 @@ from __future__ import annotations
 import heapq
 import os
 import re
-import zlib
 from array import array
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -142,7 +142,7 @@ def cut_parts(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> int:
 
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, start, length, ids_crc32, doc_tokens`` of whole windows and uncut remainders, and ``grains``, which a remainder may be cut into."""
+    """``doc_id, start, length, ids_crc32, doc_tokens`` of whole windows and uncut remainders, and ``grains``: checksums of what a remainder may be cut into."""
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer = docs.sparkSession.sparkContext.broadcast(file.read())
     key, end = hash((id(tokenizer), tokenizer_path)), np.array([end_id], "<u4").tobytes()
@@ -151,29 +151,30 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _worker(key, tokenizer.value)
         for batch in batches:
-            row, numbers, parts, ends = [], [], [], [0]
+            row, start, length, whole, tokens, parts, ends = [], [], [], [], [], [], [0]
             encoded = (ids for first, last in slices(batch.column(1)) for ids in encoder.encode(batch.column(1).slice(first, last - first).fill_null("").to_pylist()))
             for at, ids in enumerate(encoded):
-                ids += end
-                n, start = len(ids) // 4, 0
-                while start < n:
-                    length = min(capacity, n - start)
+                ids = memoryview(ids + end)
+                for begin in range(0, len(ids), 4 * capacity):
+                    piece = ids[begin:begin + 4 * capacity]
+                    n = len(piece) // 4
                     row.append(at)
-                    numbers.append((start, length, zlib.crc32(ids[4 * start:4 * (start + length)]), n))
-                    for part in grains(length) if length < capacity else ():
-                        parts.append((start, part, zlib.crc32(ids[4 * start:4 * (start + part)])))
-                        start += part
-                    start += capacity * (length == capacity)
+                    start.append(begin // 4)
+                    length.append(n)
+                    whole.append(crc32(piece))
+                    tokens.append(len(ids) // 4)
+                    if n < capacity:
+                        edges = [4 * (n - (n >> i)) for i in range(n.bit_length() + 1)]
+                        parts += [crc32(piece[a:b]) for a, b in zip(edges, edges[1:])]
                     ends.append(len(parts))
-            columns = [pa.array(c, pa.int64()) for c in zip(*numbers)] or [pa.array([], pa.int64())] * 4
-            fields = [pa.array(c, pa.int64()) for c in zip(*parts)] or [pa.array([], pa.int64())] * 3
-            cut = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, names=["start", "length", "ids_crc32"]))
+            columns = [pa.array(c, pa.int64()) for c in (start, length, whole, tokens)]
+            cut = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(parts, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int64())), *columns, cut],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grains"])
 
     return docs.select(id_column, text_column).mapInArrow(
-        run, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, grains array<struct<start: long, length: long, ids_crc32: long>>")
+        run, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, grains array<long>")
 
 
 def differencing(lengths: np.ndarray, ways: int) -> np.ndarray:
@@ -254,8 +255,10 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
     # By the row of a stored table and not by content; repeated rows are dealt out too.
     parts = parts.withColumn("row", F.monotonically_increasing_id())
     of = F.when(F.col("length") * SHARES > capacity, share).otherwise(LEAST_CUT)
+    cut = F.expr("""transform(grains, (ids_crc32, i) -> struct(
+        start + length - shiftright(length, i) as start, shiftright(length, i) - shiftright(length, i + 1) as length, ids_crc32 as ids_crc32))""")
     uncut = F.array(F.struct("start", "length", "ids_crc32"))
-    parts = parts.withColumn("piece", F.explode(F.when(F.pmod(F.xxhash64("row", F.lit(PARTS_OF)), F.lit(PARTS_OF)) < of, F.col("grains")).otherwise(uncut)))
+    parts = parts.withColumn("piece", F.explode(F.when(F.pmod(F.xxhash64("row", F.lit(PARTS_OF)), F.lit(PARTS_OF)) < of, cut).otherwise(uncut)))
     mixed = F.xxhash64("row", "piece.start")
     parts = parts.select("doc_id", "piece.start", "piece.length", "piece.ids_crc32", "doc_tokens", mixed.alias("mixed"))
     n_pieces = sum(n * ((PARTS_OF - p) + p * len(grains(length))) // PARTS_OF
