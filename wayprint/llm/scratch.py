@@ -14,9 +14,11 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one only where none is set, as in tests."""
+    """The cluster's checkpoint folder; a local one only where none is set and Spark runs in one process, as in tests."""
     found = spark.conf.get(DIR, None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {DIR} to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="wayprint-")
         spark.conf.set(DIR, found)
     return found.rstrip("/")
