@@ -40,6 +40,21 @@ def test_bpe_equals_the_library(spark):
         assert (row.n_tokens, row.ids_sha256, row.decoded_sha256) == (len(ids), brute.sha(ids.tobytes()), brute.sha(texts[row.doc_id]))
 
 
+def test_bpe_of_long_pieces():
+    ranks, rng = byte_bpe.read_ranks(RANKS), random.Random(3)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder = byte_bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    words = brute.documents(SF_TINY)[1].split()
+    texts = ["".join(rng.choices(letters, k=n)) for n in (257, 1000, 20_000) for letters in ("a", "ab", "etaoinshr", "abcdefghijklmnopqrstuvwxyz", "дежик", "日本語", "=-")]
+    for text in [*texts, "".join(w for w in words if w.isalpha()), "".join(rng.choices("etaoinshrdlucm", k=200_000))]:
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library.encode_ordinary(text)
+    # A token that is a part of one with a lower rank merges one pair a round.
+    odd = {bytes([b]): b for b in range(256)} | {b"aba": 256, b"ab": 257, b"ba": 258, b"abab": 259}
+    text = "".join(rng.choices("abc", k=2000))
+    plain = tiktoken.Encoding("odd", pat_str=r"\w+", mergeable_ranks=odd, special_tokens={}).encode_ordinary(text)
+    assert np.frombuffer(byte_bpe.Encoder(odd, r"\w+").encode([text])[0], "<u4").tolist() == plain
+
+
 def test_bpe_on_edge_cases(edges, nothing):
     rows = byte_bpe.encode_texts(edges, RANKS, public_tokenizers.PATTERN).collect()
     assert collections.Counter((r.doc_id, bytes(r.decoded)) for r in rows) == collections.Counter((d, (t or "").encode()) for d, t in EDGES)

@@ -5,6 +5,11 @@ alone. Pieces of like length share one numpy matrix of token ids, a row each; in
 every round each row merges its leftmost pair of least rank. Ranks of pairs are
 found in a hashed table; merged rows are compacted to the left.
 
+A long piece is first cut between bytes that are neighbours in no token, which no merge
+can cross. What is still long is a row of its own, which in a round merges its least pair
+wherever it occurs, from the left, unless the merged token takes part in a pair of lower
+rank. The order of merges is the same, in as many rounds as different tokens arise.
+
 Edge cases: a null or empty text has no ids and decodes to nothing; any code point
 is encodable as bytes; repeated rows give repeated results; an empty table gives
 no rows; other columns of the input are ignored.
@@ -14,6 +19,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 NO_PAIR = np.int32(2**31 - 1)
 CACHE_SIZE = 600_000  # pieces whose ids a worker keeps, whatever the input
 MATRIX_CELLS = 1 << 20
+LONG = 256  # bytes beyond which a piece is cut, or a row of its own
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -42,6 +49,14 @@ class PairTable:
                 a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if a is not None and b is not None:
                     left.append(a), right.append(b), merged.append(rank)
+        # Whether every pair that a token takes part in has a higher rank than the token.
+        self.rising = np.full(max(ranks.values()) + 1, NO_PAIR)
+        np.minimum.at(self.rising, left + right, np.array(merged + merged, np.int32))
+        self.rising = self.rising > np.arange(len(self.rising))
+        self.inside = np.zeros((256, 256), bool)  # bytes that are neighbours in a token
+        for token in ranks:
+            for a, b in zip(token, token[1:]):
+                self.inside[a, b] = True
         keys = np.array(left, np.uint64) << np.uint64(32) | np.array(right, np.uint64)
         self.bits = max(4, int(2.5 * len(keys)).bit_length())
         self.keys = np.full(1 << self.bits, np.uint64(0xFFFFFFFFFFFFFFFF))
@@ -86,12 +101,50 @@ class Encoder:
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of pieces, as little-endian 32-bit numbers."""
+        cut = [self._parts(piece) if len(piece) > LONG else [piece] for piece in pieces]
+        found = iter(self._bucketed([part for parts in cut for part in parts]))
+        return [b"".join(islice(found, len(parts))) for parts in cut]
+
+    def _parts(self, piece: bytes) -> list[bytes]:
+        """The piece cut where no merge can cross."""
+        data = np.frombuffer(piece, np.uint8)
+        edges = [0, *(np.flatnonzero(~self.pairs.inside[data[:-1], data[1:]]) + 1).tolist(), len(piece)]
+        return [piece[a:b] for a, b in zip(edges, edges[1:])]
+
+    def _row(self, piece: bytes) -> bytes:
+        """Ids of a long piece: each round merges all of its least pair."""
+        ids = self.of_byte[np.frombuffer(piece, np.uint8)]
+        ranks = np.append(self.pairs.find(ids[:-1], ids[1:]), NO_PAIR)
+        while (least := ranks.min()) != NO_PAIR:
+            at = np.flatnonzero(ranks == least)
+            if self.pairs.rising[least]:
+                run = np.cumsum(np.diff(at, prepend=-1) > 1)  # of overlapping pairs, every other one merges
+                first = np.searchsorted(run, run)
+                at = at[(np.arange(len(at)) - first) % 2 == 0]
+            else:
+                at = at[:1]
+            ids[at] = least
+            kept = np.ones(len(ids), bool)
+            kept[at + 1] = False
+            ids, ranks = ids[kept], ranks[kept]
+            at -= np.arange(len(at))
+            for beside in (at[at > 0] - 1, at):
+                ranks[beside] = NO_PAIR
+                beside = beside[beside + 1 < len(ids)]
+                ranks[beside] = self.pairs.find(ids[beside], ids[beside + 1])
+        return ids.astype("<u4").tobytes()
+
+    def _bucketed(self, pieces: list[bytes]) -> list[bytes]:
         out: list[bytes] = [b""] * len(pieces)
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         order = np.argsort(lengths, kind="stable")
         start = 0
         while start < len(order):  # a matrix of rows of at most 1.25 times the shortest one's length
-            longest = max(int(lengths[order[start]] * 1.25), 4)
+            if lengths[order[start]] > LONG:
+                for row in order[start:].tolist():
+                    out[row] = self._row(pieces[row])
+                break
+            longest = min(max(int(lengths[order[start]] * 1.25), 4), LONG)
             end = min(int(np.searchsorted(lengths[order], longest, side="right")), start + max(1, MATRIX_CELLS // longest))
             rows = order[start:end]
             for row, ids in zip(rows.tolist(), self._matrix([pieces[r] for r in rows.tolist()], lengths[rows])):
