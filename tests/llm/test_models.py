@@ -63,21 +63,106 @@ def test_counts_and_base_score(spark):
         assert (row.n_tokens, row.n_known, row.train_tokens) == (len(found), sum(counts[t] > 0 for t in found), total)
         assert row.base_score == pytest.approx(base, rel=1e-9)
     held = [r for r in rows if r.held_out]
-    assert sum(r.score for r in held) > sum(r.base_score for r in held)
-
-
-def test_classes_share_out_everything(spark):
-    """Class shares sum to one, and so do the tokens of a class with its unknown token."""
+    assert sum(r.score - r.base_score for r in held) > 0.5 * sum(r.n_tokens for r in held)
+
+
+def plain_pair_weights(counts: dict, shares: dict) -> tuple[dict, float]:
+    """Weights of a group by bisection on its normaliser, which must satisfy z = 1 + sum of share * (exp(weight) - 1)."""
+    total = sum(counts.values())
+    weights = lambda z: {w: max(0.0, math.log((c - lm_scoring.DISCOUNT) * z / (total * shares[w]))) for w, c in counts.items()}
+    low, high = 1e-9, 1e9
+    for _ in range(200):
+        z = math.sqrt(low * high)
+        excess = 1 + sum(shares[w] * math.expm1(v) for w, v in weights(z).items()) - z
+        low, high = (z, high) if excess > 0 else (low, z)
+    return weights(z), math.log(z)
+
+
+def test_score_equals_plain_python(spark):
+    """All factors again, from plain counts; of the model only the trained table is used."""
+    full, sums, table = lm_scoring.fit(queries.table(spark, SF_TINY, "documents"))
+    texts, counts, pairs = brute.documents(SF_TINY), collections.Counter(), collections.Counter()
+    tokens = {d: [*(w.encode() for w in brute.WORD.findall(t.translate(brute.UPPER))), b"\n"] for d, t in texts.items()}
+    for d, found in tokens.items():
+        if remainder(d, 5) != 1:
+            counts.update(found)
+            pairs.update(zip([b"\n", *found], found))
+    top = {w: i for i, (w, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:lm_scoring.N_FREQUENT])}
+    kind = lambda w: top.get(w, lm_scoring.N_FREQUENT + zlib.crc32(w[-2:]) % lm_scoring.N_SHAPES)
+    in_class, kinds = collections.Counter(), collections.Counter()
+    for w, c in counts.items():
+        in_class[kind(w)] += c
+        kinds[kind(w)] += 1
+    share = lambda w: (counts[w] + 0.5) / (in_class[kind(w)] + 0.5 * (kinds[kind(w)] + 1))
+    total, n_classes = sum(counts.values()), lm_scoring.N_CLASSES
+    class_share = [(in_class[c] + 0.5 * (kinds[c] + 1)) / (total + 0.5 * (len(counts) + n_classes)) for c in range(n_classes)]
+    assert sum(class_share) == pytest.approx(1) and len(table) == 1 << sums.bits
+    groups, after = collections.defaultdict(dict), collections.defaultdict(collections.Counter)
+    for (last, w), c in pairs.items():
+        groups[last, kind(w)][w] = c
+        after[last][kind(w)] += c
+    solved = {}
+
+    def row(last):
+        n, seen = sum(after[last].values()), len(after[last])
+        for c in range(n_classes):
+            likely = (max(after[last][c] - 0.75, 0) + (0.75 * seen + 1) * class_share[c]) / (n + 1)
+            yield max(-127, min(127, round(math.log(likely / class_share[c]) * 16))) / 16
+
+    def log(last, second, third, w):
+        m, bits = 0xFFFFFFFF, sums.bits
+        one, two, three = (0 if x is None else lm_scoring.xxhash.xxh64_intdigest(x) & m for x in (last, second, third))
+        places = [((one * 0x85EBCA6B & m) ^ two) * 0xC2B2AE35 & m, (two ^ 0x27D4EB2F) * 0x165667B1 & m, (three ^ 0x5BD1E995) * 0x9E3779B1 & m]
+        before = b"\n" if last is None else last
+        logits = np.array(list(row(before))) if before in after else np.zeros(n_classes)
+        logits = logits + table[0] + sum(table[max(p >> (32 - bits), 1)].astype(float) for p in places)
+        group = before, kind(w)
+        if group not in solved:
+            solved[group] = plain_pair_weights(groups[group], {x: share(x) for x in groups[group]}) if group in groups else ({}, 0.0)
+        weights, z = solved[group]
+        within = math.log(share(w)) + weights.get(w, 0.0) - z
+        return (logits[kind(w)] - np.log(np.exp(logits).sum()) + within) / math.log(10)
+
+    rows = {r.doc_id: r.score for r in queries.op10_lm_scoring(spark, SF_TINY).collect()}
+    for d in [d for d in sorted(texts) if len(tokens[d]) < 3000][:60]:
+        t = [None, None, None, *tokens[d]]
+        plain = sum(log(t[i - 1], t[i - 2], t[i - 3], t[i]) for i in range(3, len(t)))
+        assert rows[d] == pytest.approx(plain, rel=2e-4)
+
+
+def test_probabilities_of_a_position_sum_to_one(spark):
+    """Classes given any row of features; words of a class with its unknown token, given any last token."""
     chunks = lm_scoring.chunks_of(queries.table(spark, SF_TINY, "documents"), 1, 5).cache()
     known, sums = lm_scoring.count_tokens(chunks)
-    weights = lm_scoring.train(lm_scoring.prepared(chunks, known, sums.frequent), sums.start(), 2)
-    found = np.random.default_rng(0).integers(1, 1 << lm_scoring.BITS, (50, lm_scoring.N_FEATURES)).astype(np.uint16)
-    assert np.allclose(lm_scoring.softmax(weights, found).sum(axis=1), 1, atol=1e-4)
+    ready = lm_scoring.prepared(chunks, known, sums.frequent)
+    weights = lm_scoring.train(lm_scoring.completed(ready, sums), sums.start(), 2)
+    rng = np.random.default_rng(0)
+    found, own = rng.integers(1, 1 << sums.bits, (50, lm_scoring.N_FEATURES)), rng.integers(-127, 128, (50, lm_scoring.N_CLASSES)).astype(np.int8)
+    assert np.allclose(lm_scoring.softmax(weights, found, own).sum(axis=1), 1, atol=1e-4)
     rows = known.collect()
     classes = lm_scoring.classes_of([bytes(r.token) for r in rows], sums.frequent)
     shares = np.bincount(classes, 10 ** sums.within_log(np.array([r.n for r in rows]), classes), lm_scoring.N_CLASSES)
     unknown = 10 ** sums.within_log(np.zeros(lm_scoring.N_CLASSES), np.arange(lm_scoring.N_CLASSES))
     assert np.allclose(shares + unknown, 1)
+    pairs = lm_scoring.pairs_of(ready, sums)
+    fitted = lm_scoring.fit_pairs(pairs).cache()
+    rest = fitted.filter("token is null").toPandas().set_index("group")["add"].astype(float)
+    share = pairs.filter("n > 0").select("group", "token", "share").distinct()
+    both = fitted.filter("token is not null").join(share, ["group", "token"]).toPandas()
+    both["likely"] = both.share * np.exp(both["add"].astype(float))
+    sums_of = both.groupby("group").agg(likely=("likely", "sum"), share=("share", "sum"))
+    assert len(sums_of) == len(rest) > 1000
+    assert np.allclose(sums_of.likely + (1 - sums_of.share) * np.exp(rest[sums_of.index]), 1, atol=1e-4)
+
+
+def test_groups_across_batches():
+    """A group that spans batches comes whole, and each row once."""
+    groups = np.repeat(np.arange(6), [1, 7, 2, 12, 1, 3])
+    table = lm_scoring.pa.table({"group": groups, "n": np.arange(len(groups))})
+    for size in (1, 2, 3, 5, 100):
+        found = [t["group"].to_pylist() for t in lm_scoring._groups(iter(table.to_batches(max_chunksize=size)))]
+        assert sum(found, []) == groups.tolist()
+        assert all(a[-1] != b[0] for a, b in zip(found, found[1:]))
 
 
 def test_language_model_on_edge_cases(edges, nothing):
