@@ -11,7 +11,8 @@ wherever it occurs, from the left, unless the merged token takes part in a pair
 rank. The order of merges is the same, in as many rounds as different tokens arise.
 
 Edge cases: a null or empty text has no ids and decodes to nothing; any code point
-is encodable as bytes; repeated rows give repeated results; an empty table gives
+is encodable as bytes; a text of any length is encoded whole; of pairs with equal rank the
+leftmost merges first; repeated rows give repeated results; an empty table gives
 no rows; other columns of the input are ignored.
 """
 

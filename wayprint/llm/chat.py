@@ -12,7 +12,8 @@ last.
 
 Edge cases: null texts and roles are empty; turns of one number are ordered by role
 and text, those without a number come first; a repeated row is a turn again; rows
-without a conversation id form one conversation; an empty table gives no examples;
+without a conversation id form one conversation; a text of any length is formatted whole,
+and a conversation must fit in a row; an empty table gives no examples;
 other columns of the input are ignored.
 """
 

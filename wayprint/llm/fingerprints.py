@@ -10,7 +10,8 @@ parse of an edited text starts where the edit starts, from the state of the pars
 the unedited text.
 
 Edge cases: a null or empty text has no phrases, and two texts without phrases have
-likeness 1; rows of one id follow each other by a hash of the text; rows with a null
+likeness 1; a text of any length is parsed whole, in time that grows with its length;
+rows of one id follow each other by a hash of the text; rows with a null
 id come last; a single row is its own next; an empty table gives no rows; other
 columns of the input are ignored.
 """

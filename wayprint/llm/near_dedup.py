@@ -22,7 +22,8 @@ case; shingles and sets are compared as hashes of 64 and 128 bits.
 
 Edge cases: a null or empty text has no shingles and is linked with nothing; a text of
 fewer words than a shingle is one shingle; rows with one id are one document; rows
-without an id keep to themselves unless their text is that of another row; an empty
+without an id keep to themselves unless their text is that of another row; all words of a
+text of any length count; a similarity equal to the threshold is a link; an empty
 table gives no rows; other columns of the input are ignored.
 """
 

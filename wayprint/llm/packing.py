@@ -12,8 +12,9 @@ against small, until one is left. When a window holds more than its capacity, th
 number of windows rises.
 
 Edge cases: a null or empty text is the end id alone; a repeated row is packed
-again; rows with a null id are packed alike; an empty table gives no rows; other
-columns of the input are ignored.
+again; rows with a null id are packed alike; a text of any length is encoded whole, and its
+full windows are sequences of their own; which of two equal pieces goes where is fixed by
+their ids, starts and checksums; an empty table gives no rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ violators over a bounded number of score bins, with straight lines between the p
 Edge cases: a null or empty text has statistics of zero and is scored like any other;
 labels that are null or name no document are left out, and repeated labels of one
 document are averaged; without labels of both kinds every score is the share of label 1,
-or 1 without any label (nothing speaks against a text); an empty table gives no rows.
+or 1 without any label (nothing speaks against a text); a text of any length is read whole
+and is one row of statistics; texts of equal statistics have equal scores, and those that
+fall on one bin count in it together; an empty table gives no rows.
 """
 
 from __future__ import annotations

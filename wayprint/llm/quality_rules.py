@@ -10,7 +10,8 @@ lie in a window of five words that occurs at least twice in the document; window
 are compared by 64-bit hashes of 64-bit word hashes.
 
 Edge cases: a null or empty text has no words and breaks ``few_words``; repeated rows
-and rows with a null id get a ledger row each; an empty table gives an empty ledger;
+and rows with a null id get a ledger row each; a text of any length is measured whole, within
+its row; a measurement equal to a limit does not break the rule; an empty table gives an empty ledger;
 other columns of the input are ignored.
 """
 
