@@ -63,7 +63,7 @@ class Fact:
 
     subjects: frozenset[str]
     parts: frozenset[str]
-    build: Callable[[Registry, Window, frozenset[str], frozenset[str]], DataFrame]
+    build: Callable[[Registry, Window, frozenset[str], frozenset[str], bool], DataFrame]
 
     def rows(
         self,
@@ -71,43 +71,50 @@ class Fact:
         window: Window = Window(),
         subjects: Iterable[str] | None = None,
         parts: Iterable[str] | None = None,
+        items: bool = True,
     ) -> DataFrame:
+        """Without ``items``, rows may lack their item, and sources are summed by order or card before their joins."""
         subjects = self.subjects if subjects is None else self.subjects & frozenset(subjects)
         parts = self.parts & frozenset(PARTS if parts is None else parts)
-        rows = self.build(registry, window, subjects, parts)
+        rows = self.build(registry, window, subjects, parts, items)
         return rows.select(*KEYS, *[
             F.col(p) if p in rows.columns else no_part(p) for p in [*PARTS, *LABEL_PARTS] if p in parts
         ])
 
 
-def _orders(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str]) -> DataFrame:
+def _orders(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str], items: bool) -> DataFrame:
     """Order lines of all products and uses of transfers, joined with the order header once.
 
     Restaurant and parking lines and transfer records carry their own time; the other
     products are dated by the header. For a span with a start, such as a day, these come
     from a join of their own, in which the filter reaches the header scan; and of the
     side without a time, only the orders of the span enter the join.
+
+    In a full history, lines whose item is not wanted are counted by order number before
+    they are shuffled, so one number that many lines share, such as that of no order,
+    enters the join once. Restaurant lines have amounts and classes of their own and stay.
     """
+    whole = window.start is None
     counted = parts & {*AMOUNT, "amount_n", "order_n"}
     classed = "rest" in subjects and parts & {*CLASS, "class_n"}
     own_time, header_time = [], []
     if "rest" in subjects and (counted or classed):
-        own_time.append(_restaurant_lines(registry, window))
+        own_time.append(_restaurant_lines(registry, window, whole and not items and not classed and not parts & {*AMOUNT, "amount_n"}))
     if "rest" in subjects and "usage_n" in parts:
         usage = window.filter(registry.table("td_restaurant_order"), "fd_date")
-        own_time.append(_lines(usage, "rest", "fd_code", "fd_restaurant_code", used=True))
+        own_time.append(_lines(usage, "rest", "fd_code", "fd_restaurant_code", used=True, counted=whole and not items))
     if "parking" in subjects:
         parking = window.filter(registry.table("tb_order_parking"), "create_date")
-        own_time.append(_lines(parking.filter(present("parking_code")), "parking", "order_no", "parking_code"))
+        own_time.append(_lines(parking.filter(present("parking_code")), "parking", "order_no", "parking_code", counted=whole and not items))
     if "cip" in subjects and "usage_n" in parts:
-        own_time.append(_transfer_uses(registry, window))
+        own_time.append(_transfer_uses(registry, window, items))
     if "cip" in subjects and counted:
         cip = registry.table("tb_order_cip").filter(present("pro_code"))
-        header_time.append(_lines(cip, "cip", "order_no", "pro_code"))
+        header_time.append(_lines(cip, "cip", "order_no", "pro_code", counted=whole and not items))
     if "vvip" in subjects:
-        header_time.append(_lines(registry.table("tb_order_vvip"), "vvip", "order_no"))
+        header_time.append(_lines(registry.table("tb_order_vvip"), "vvip", "order_no", counted=whole))
     if "car" in subjects:
-        header_time.append(_lines(registry.table("tb_order_limousine"), "car", "order_no"))
+        header_time.append(_lines(registry.table("tb_order_limousine"), "car", "order_no", counted=whole))
 
     header = registry.table("tb_order")
     if window.start is None:
@@ -132,10 +139,11 @@ def _orders(registry: Registry, window: Window, subjects: frozenset[str], parts:
         amount = F.when(by_header, number_of(rows, "actual_amount"))
         if "amount" in rows.columns:
             amount = F.coalesce(amount, number_of(rows, "amount"))
-        rows = with_amount(rows, amount, "amount").withColumn("amount_n", _one_if("amount_whole is not null"))
+        rows = with_amount(rows, amount, "amount").withColumn("amount_n", F.expr("if(amount_whole is not null, uses, null)"))
+        rows = rows.withColumns({limb: F.col(limb) * F.col("uses") for limb in AMOUNT})
     rows = (
         rows.withColumn("itemized", in_values("subject", ["rest", "parking", "cip"]))
-        .withColumn("order_n", _one_if("not used"))
+        .withColumn("order_n", F.when(~F.col("used"), F.col("uses")))
         .withColumn("usage_n", F.when(F.col("used"), F.col("uses")))
     )
     return _classed(rows, registry, parts) if classed else rows
@@ -153,9 +161,9 @@ def _narrowed_lines(registry: Registry, lines: list[DataFrame], head: DataFrame)
     return [only_keys(_union(lines), head, "order_no")]
 
 
-def _restaurant_lines(registry: Registry, window: Window) -> DataFrame:
+def _restaurant_lines(registry: Registry, window: Window, counted: bool) -> DataFrame:
     lines = window.filter(registry.table("restaurant_order_detail2"), "ordertime").withColumnRenamed("xfprice", "amount")
-    return _lines(lines, "rest", "fd_code", "fd_restaurant_code", extra=["amount", "fd_class"])
+    return _lines(lines, "rest", "fd_code", "fd_restaurant_code", extra=["amount", "fd_class"], counted=counted)
 
 
 def _classed(rows: DataFrame, registry: Registry, parts: frozenset[str]) -> DataFrame:
@@ -177,19 +185,23 @@ def _classed(rows: DataFrame, registry: Registry, parts: frozenset[str]) -> Data
 
 def _lines(
     df: DataFrame, subject: str, order_no: str, item_code: str | None = None,
-    used: bool = False, extra: Iterable[str] = (),
+    used: bool = False, extra: Iterable[str] = (), counted: bool = False,
 ) -> DataFrame:
-    return df.filter(present(order_no)).select(
+    """Lines of a product; ``uses`` is how many a row stands for. Lines that are ``counted`` are one row an order."""
+    lines = df.filter(present(order_no)).withColumn("_order", F.col(order_no))
+    if counted:
+        lines, item_code, extra = lines.groupBy("_order").agg(F.count(F.lit(1)).alias("_lines")), None, ()
+    return lines.select(
         F.lit(subject).alias("subject"),
         F.lit(used).alias("used"),
-        F.col(order_no).alias("order_no"),
+        F.col("_order").alias("order_no"),
         (F.col(item_code) if item_code else F.lit(None).cast("string")).alias("item_code"),
-        F.expr("1L as uses"),
+        (F.col("_lines") if counted else F.expr("1L")).alias("uses"),
         *extra,
     )
 
 
-def _transfer_uses(registry: Registry, window: Window) -> DataFrame:
+def _transfer_uses(registry: Registry, window: Window, items: bool) -> DataFrame:
     """Uses of airport transfers as order lines: records and products that share an order number.
 
     Records are counted per order before they meet the products, so an order with
@@ -203,19 +215,20 @@ def _transfer_uses(registry: Registry, window: Window) -> DataFrame:
     products = registry.table("tb_order_cip")
     if window.start is not None:
         products = registry.narrowed("tb_order_cip", records, "order_no")
-    products = products.filter(present("order_no", "pro_code")).groupBy("order_no", "pro_code").agg(F.count(F.lit(1)).alias("products"))
-    used = attach(records, products, {"order_no": "order_no"}, require=["pro_code"])
+    products = products.filter(present("order_no", "pro_code")).groupBy("order_no", *["pro_code"] * items).agg(F.count(F.lit(1)).alias("products"))
+    used = attach(records, products, {"order_no": "order_no"}, require=["products"])
     return used.select(
-        F.lit("cip").alias("subject"), F.lit(True).alias("used"), "order_no", F.col("pro_code").alias("item_code"),
+        F.lit("cip").alias("subject"), F.lit(True).alias("used"), "order_no",
+        (F.col("pro_code") if items else F.lit(None).cast("string")).alias("item_code"),
         (F.col("records") * F.col("products")).alias("uses"),
     )
 
 
-def _lounges(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str]) -> DataFrame:
+def _lounges(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str], items: bool) -> DataFrame:
     """Lounge visits and services, by membership card, joined once with the card's users.
 
-    Both are summed per card and lounge first: a card with a large share of all
-    visits reaches the join as one row per lounge.
+    Both are summed per card and lounge first, or per card alone where items are not
+    wanted: a card with a large share of all visits reaches the join as one row per lounge.
     """
     added = []
     if parts & {*AMOUNT, "amount_n", "usage_n", "people_sum"}:
@@ -231,12 +244,13 @@ def _lounges(registry: Registry, window: Window, subjects: frozenset[str], parts
         services = window.filter(registry.table("tb_order_loungeserv"), "create_date")
         services = services.filter(present("dragoncode", "lounge_code")).select("dragoncode", "lounge_code")
         added.append(explode_codes(services, "lounge_code", "item_code").withColumn("order_n", F.expr("1L")))
-    per_card = sum_parts(_union(added), ["dragoncode", "item_code"])
+    per_card = sum_parts(_union(added), ["dragoncode", "item_code"] if items else ["dragoncode"])
     cards = registry.table("tb_bindrecord")
     if window.start is not None:
         cards = registry.narrowed("tb_bindrecord", per_card, "dragoncode")
     return attach(per_card, cards, {"dragoncode": "dragoncode"}, require=["user_id"]).select(
-        F.lit("lounge").alias("subject"), F.lit(True).alias("itemized"), "user_id", "item_code",
+        F.lit("lounge").alias("subject"), F.lit(True).alias("itemized"), "user_id",
+        (F.col("item_code") if items else F.lit(None).cast("string")).alias("item_code"),
         *[c for c in per_card.columns if c in PARTS],
     )
 
@@ -245,7 +259,7 @@ def _lounges(registry: Registry, window: Window, subjects: frozenset[str], parts
 _BROWSED_ITEM = {"rest": "code", "lounge": "code", "shop": "code", "parking": "parkingCode"}
 
 
-def _browses(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str]) -> DataFrame:
+def _browses(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str], items: bool) -> DataFrame:
     """Page views of all subjects in one scan of the page log, each parameter text parsed once."""
     subject, item = F.lit(None).cast("string"), F.lit(None).cast("string")
     for name in sorted(subjects):
@@ -265,7 +279,7 @@ def _browses(registry: Registry, window: Window, subjects: frozenset[str], parts
     )
 
 
-def _collections(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str]) -> DataFrame:
+def _collections(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str], items: bool) -> DataFrame:
     """Collected items of all subjects in one scan; the code's first letter tells the subject."""
     letters = {letter: s for letter, s in CODE_CLASSES.items() if s in subjects}
     collects = window.filter(registry.table("tb_user_collect"), "create_time")
@@ -276,7 +290,7 @@ def _collections(registry: Registry, window: Window, subjects: frozenset[str], p
     )
 
 
-def _comments(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str]) -> DataFrame:
+def _comments(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str], items: bool) -> DataFrame:
     """Comments on restaurants, and well-scored comments on lounges."""
     found = []
     if "rest" in subjects:
@@ -292,7 +306,7 @@ def _comments(registry: Registry, window: Window, subjects: frozenset[str], part
     ])
 
 
-def _visits(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str]) -> DataFrame:
+def _visits(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str], items: bool) -> DataFrame:
     """Article and banner pages in one scan of the visit log."""
     prefixes = []
     is_article = F.lit(False)
@@ -333,7 +347,7 @@ def _labelled(rows: DataFrame, registry: Registry) -> DataFrame:
     })
 
 
-def _favors(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str]) -> DataFrame:
+def _favors(registry: Registry, window: Window, subjects: frozenset[str], parts: frozenset[str], items: bool) -> DataFrame:
     favors = window.filter(registry.table("tbd_lettres_favor"), "create_time")
     return favors.filter(present("user_id", "lettres_id")).select(
         F.lit("article").alias("subject"), F.lit(True).alias("itemized"),

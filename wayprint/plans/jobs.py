@@ -74,7 +74,7 @@ def article_label_sums(browsed: DataFrame, registry: Registry) -> DataFrame:
 
 
 def _job_rows(registry: Registry, job: Job, parts: list[str], window: Window) -> DataFrame:
-    return FACTS[job.fact].rows(registry, window, [job.subject], parts)
+    return FACTS[job.fact].rows(registry, window, [job.subject], parts, items=job.level != "user")
 
 
 def _values(registry: Registry, job: Job, window: Window) -> DataFrame:
