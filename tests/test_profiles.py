@@ -1,12 +1,13 @@
 """The profiles agree with the single jobs, and days add up to the whole."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from testbed.standins import registry as standin_registry
-from tests.conftest import SF_TINY, rows_of
+from tests.conftest import SF_TINY, plan_of, rows_of, settings
 from wayprint.plans.catalog import ITEM_JOBS, LABEL_JOB, USER_JOBS
 from wayprint.plans.facts import KEYS, LABEL_PARTS, PARTS, Window
 from wayprint.plans.jobs import run_job
@@ -64,6 +65,16 @@ def test_unsummed_rows_give_the_same_user_documents(registry, users):
     assert rows_of(direct.select(*users.columns), *users.columns) == rows_of(users, *users.columns)
 
 
+def test_rows_without_items_give_the_same_user_documents(spark, registry, users):
+    rows = fact_rows(registry, parts=[*PARTS, *LABEL_PARTS], items=False)
+    columns = sorted(users.columns)
+    assert rows_of(user_documents(rows), *columns) == rows_of(users, *columns)
+    # Orders and cards are not shuffled by item: a card reaches its join as one row.
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = plan_of(user_documents(rows))
+    assert "hashpartitioning(dragoncode" in plan and not re.search(r"hashpartitioning\(dragoncode#\d+L?, item_code", plan)
+
+
 def test_item_counts_add_up_to_user_counts(items, users):
     per_item = items.filter("collection = 'userrest'").groupBy("user_id").agg(F.sum("consumptionNum").alias("n")).filter("n is not null")
     assert rows_of(per_item, "user_id", "n") == rows_of(users.filter("restConsumptionNum is not null"), "user_id", "restConsumptionNum")

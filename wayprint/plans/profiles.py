@@ -23,12 +23,14 @@ from wayprint.sources import Registry
 
 def fact_rows(
     registry: Registry, window: Window = Window(), facts: Iterable[str] | None = None, parts: Iterable[str] | None = None,
+    items: bool = True,
 ) -> DataFrame:
     """The rows of all facts together, not summed. Of sources, only what ``parts`` need is read.
 
-    With ``LABEL_PARTS`` among them, views carry the labels of their articles.
+    With ``LABEL_PARTS`` among them, views carry the labels of their articles. User documents
+    need no ``items``; without them orders and lounge visits are summed before their joins.
     """
-    return _together([FACTS[n].rows(registry, window, parts=parts) for n in (FACTS if facts is None else facts)])
+    return _together([FACTS[n].rows(registry, window, parts=parts, items=items) for n in (FACTS if facts is None else facts)])
 
 
 def build_state(
