@@ -127,3 +127,14 @@ def test_an_interrupted_write_leaves_the_version_before(spark, tmp_path):
     assert rows_of(store.read_documents("users"), "user_id", "n") == [("2", 6)]
     with pytest.raises(FileNotFoundError):
         store.read_documents("others")
+
+
+def test_service_lists_are_shuffled_whole(spark, registry, items):
+    """A service enters the joins as one row, however many lounges it lists."""
+    rows = fact_rows(registry, facts=["lounges"])
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = plan_of(rows)
+    assert "explode" in plan[:plan.index("Join")] and "explode" not in plan[plan.index("Join"):]
+    found = rows.filter("order_n is not null").groupBy("user_id", "item_code").agg(F.sum("order_n").alias("n"))
+    assert rows_of(found, "user_id", "item_code", "n") == rows_of(
+        items.filter("collection = 'userlounge' and consumptionNum is not null"), "user_id", "item_code", "consumptionNum")
