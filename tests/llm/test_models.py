@@ -155,6 +155,35 @@ def test_probabilities_of_a_position_sum_to_one(spark):
     assert np.allclose(sums_of.likely + (1 - sums_of.share) * np.exp(rest[sums_of.index]), 1, atol=1e-4)
 
 
+def test_pairs_are_asked_as_arrays(spark):
+    """Weights and rows do not depend on which buckets a last token has; chunks are not shuffled again for them, and their files go."""
+    ready = lm_scoring.prepared(chunks := lm_scoring.chunks_of(queries.table(spark, SF_TINY, "documents"), 1, 5).cache(), *_counted(chunks))
+    _, sums = lm_scoring.count_tokens(chunks)
+    asked = lm_scoring.asked_pairs(ready, lm_scoring.HOT, 64, 0)
+    assert asked.count() == 64 // lm_scoring.PASSES * ready.count()  # a row for each bucket, and not for each pair
+    found = []
+    for hot in (lm_scoring.HOT, 20):
+        full = lm_scoring.completed(ready, sums, hot)
+        assert "Exchange" not in full._jdf.queryExecution().executedPlan().toString()
+        table = full.toArrow()
+        found.append([(c.number.as_py(), c.added(), c.rows) for c in sorted(lm_scoring._chunks(iter(table.to_batches())), key=lambda c: c.number.as_py())])
+    for (a, added, rows), (b, again, same) in zip(*found, strict=True):
+        assert a == b and np.allclose(added, again, atol=1e-5) and (rows == same).all() and len(set(added.tolist())) > 1000
+
+
+def _counted(chunks):
+    known, sums = lm_scoring.count_tokens(chunks)
+    return known, sums.frequent
+
+
+def test_sums_of_runs():
+    rng = np.random.default_rng(1)
+    for n in range(1, 60):
+        keys, values = np.sort(rng.integers(0, rng.integers(1, 30), n)), rng.random((n, 3))
+        firsts = lm_scoring._runs(keys)
+        assert np.allclose(lm_scoring._run_sums(values, firsts), np.add.reduceat(values, firsts, axis=0))
+
+
 def test_groups_across_batches():
     """A group that spans batches comes whole, and each row once."""
     groups = np.repeat(np.arange(6), [1, 7, 2, 12, 1, 3])
