@@ -1,6 +1,7 @@
 """Padding of tables whose lengths are unlike those of the test data."""
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from tests.llm import test_exact
@@ -24,3 +25,18 @@ def test_share_of_grains(low, high):
     pieces = [p for n in np.repeat(lengths, counts).tolist() for p in (packing.grains(n) if rng.integers(packing.PARTS_OF) < parts else [n])]
     found = packing.divide(np.sort(pieces)[::-1], 4096)
     assert 1 - sum(pieces) / 4096 / (found.max() + 1) < 0.05
+
+
+def test_known_words_are_looked_up_and_not_gone_through():
+    """A batch costs what its own words cost, however many words the worker knows."""
+    class Known(dict):
+        def keys(self):
+            raise AssertionError("all known words")
+
+    encoder = packing.WordEncoder(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+    texts = ["Two\x0bwords, naïve\x85 one\r\n\tand no  more", "", " \n", "日本 語 <|end|> É"]
+    first = encoder.encode(texts)
+    encoder.known = Known(encoder.known)
+    assert encoder.encode(texts) == first
+    whole = [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [list(memoryview(ids).cast("I")) for ids in first] == whole

@@ -42,7 +42,7 @@ LEAST_CUT = 4  # parts of the rows that lend their remainders as grains in any c
 SHARES = 8  # pieces above one in so many of a window are cut as the lengths demand
 SLACK = 0.97  # of the windows, for pieces that leave no whole place
 TRIAL, PADDING = 600, 0.02  # rows of a trial, and the padding it may have
-WHITE = re.compile("[ \n\t\r]")
+WHITES = "\n\t\r"  # and the space; other white space is part of a word here
 # Words of ASCII (less the apostrophe) and Latin-1 letters skip the tokenizer's normalizer: they have one
 # normal form and one lower case, and their parts are runs of letters, single digits and runs of the rest.
 PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+").fullmatch
@@ -72,8 +72,10 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian 32-bit numbers."""
-        cut = [WHITE.split(text) for text in texts]
-        fresh = set().union(*cut) - self.known.keys()
+        for white in WHITES:
+            texts = [text.replace(white, " ") for text in texts]
+        cut = [text.split(" ") for text in texts]
+        fresh = set().union(*cut).difference(self.known)  # looks up the words; keys() would be gone through whole
         if len(self.known) + len(fresh) > CACHE_SIZE:
             self.known, self.parts, fresh = {}, {}, set().union(*cut)
         plain = [word for word in fresh if PLAIN(word) and "<|" not in word]
@@ -89,7 +91,8 @@ class WordEncoder:
         """Ids of a part that the tokenizer would merge by itself."""
         found = self.parts.get(text)
         if found is None:
-            found = self.parts[text] = array("I", [token.id for token in self.merge(text.translate(BYTE_LETTERS))]).tobytes()
+            shown = text if text.isascii() else text.translate(BYTE_LETTERS)
+            found = self.parts[text] = array("I", [token.id for token in self.merge(shown)]).tobytes()
         return found
 
 
