@@ -171,6 +171,25 @@ def test_pairs_are_asked_as_arrays(spark):
         assert a == b and np.allclose(added, again, atol=1e-5) and (rows == same).all() and len(set(added.tolist())) > 1000
 
 
+def test_training_reads_no_weights_of_pairs(spark):
+    """They are most of a row's bytes; rows of last tokens are the same without them, and chunks are written by the tasks that cut them."""
+    full, _, _ = lm_scoring.fit(queries.table(spark, SF_TINY, "documents"))
+    found = []
+    for rows in (full, full.rows):
+        found.append([c.rows for c in sorted(lm_scoring._chunks(iter(rows.toArrow().to_batches())), key=lambda c: c.number.as_py())])
+    assert "adds" not in full.rows.schema["answers"].dataType.elementType.names
+    assert all((a == b).all() for a, b in zip(*found, strict=True)) and len(found[0])
+
+
+def test_counts_are_asked_by_byte(spark):
+    """Eight planes of a byte each, which answer as the counts themselves did."""
+    chunks = lm_scoring.chunks_of(queries.table(spark, SF_TINY, "documents"), 1, 5).cache()
+    known, sums = lm_scoring.count_tokens(chunks)
+    row = lm_scoring.asked_pairs(lm_scoring.prepared(chunks, known, sums.frequent), lm_scoring.HOT, 64, 0).first()
+    planes = np.frombuffer(row.counts, np.uint8).reshape(8, -1)
+    assert planes.shape[1] == len(row.classes) and planes[0].any() and not planes[4:].any()
+
+
 def _counted(chunks):
     known, sums = lm_scoring.count_tokens(chunks)
     return known, sums.frequent
