@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -132,6 +133,24 @@ def test_repeats_of_small_texts(spark, monkeypatch, crowd):
         assert found == brute.without_repeats(texts, length)
 
 
+def test_only_segments_that_share_a_string_are_sorted(monkeypatch):
+    rng, sorted_ones = random.Random(8), []
+    word = lambda n: bytes(rng.choices(b"abcdefgh", k=n))
+    shared, anchor = word(60), word(16)
+    strings = [word(34) + anchor + word(34) for _ in range(200)] + [word(9) + shared, shared + word(3), shared[:50], word(30) + shared[:49]]
+    ids = np.arange(len(strings))
+    assert np.flatnonzero(suffix_dedup.meeting(strings, ids, 50)).tolist() == [200, 201, 202]
+    assert not suffix_dedup.meeting(strings, np.zeros(len(strings), np.int64), 50).any()  # one id never meets itself
+    for i, least in enumerate(suffix_dedup.first_ids(strings, ids, 50)):
+        assert (least < ids[i]).any() == (i in (201, 202))
+
+    plain = suffix_dedup.first_ids
+    monkeypatch.setattr(suffix_dedup, "first_ids", lambda strings, *rest: sorted_ones.extend(strings) or plain(strings, *rest))
+    table = pa.table({"segment": strings, "least": ids, "uses": ids})
+    offsets = suffix_dedup.group_offsets(table, 50)["offsets"].to_pylist()
+    assert len(sorted_ones) == 3 and [bool(x) for x in offsets] == [i in (201, 202) for i in range(len(strings))]
+
+
 def test_transform_is_that_of_all_suffixes(tmp_path):
     rng = random.Random(2)
     strings = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 30))).encode() for _ in range(25)]
