@@ -171,6 +171,15 @@ def test_pairs_are_asked_as_arrays(spark):
         assert a == b and np.allclose(added, again, atol=1e-5) and (rows == same).all() and len(set(added.tolist())) > 1000
 
 
+def test_scoring_takes_answers_row_by_row(spark, monkeypatch):
+    """One array of all answers for each chunk was copied whole by an aggregation, a sort and a join; files by chunk need none of these, and no exchange."""
+    plans, store = {}, lm_scoring.stored
+    monkeypatch.setattr(lm_scoring, "stored", lambda df, name: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or store(df, name))
+    lm_scoring.score_documents(queries.table(spark, SF_TINY, "documents"))
+    assert "FlatMapCoGroupsInArrow" in plans["scores"]
+    assert not any(x in plans["scores"] for x in ("collect_list", "Join", "Exchange"))
+
+
 def test_training_reads_no_weights_of_pairs(spark):
     """They are most of a row's bytes; rows of last tokens are the same without them, and chunks are written by the tasks that cut them."""
     full, _, _ = lm_scoring.fit(queries.table(spark, SF_TINY, "documents"))
