@@ -2,6 +2,7 @@
 
 import collections
 import math
+import re
 import zlib
 
 import numpy as np
@@ -171,6 +172,17 @@ def test_pairs_are_asked_as_arrays(spark):
         assert a == b and np.allclose(added, again, atol=1e-5) and (rows == same).all() and len(set(added.tolist())) > 1000
 
 
+def test_tokens_of_a_chunk_are_those_of_each_text(spark):
+    """Words and ends are cut from all texts of a chunk at once, and classes come from a table."""
+    texts = ["", " One  two\n", "\x0b\x1c é\u00a0Ü x", "a", None, "\t", "B\x00", "日本語 A", "end"]
+    data, offsets = lm_scoring.utf8(lm_scoring.pa.array(texts, lm_scoring.pa.string()))
+    found, sizes = lm_scoring.tokens_of(data, offsets)
+    wanted = [[*re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()), lm_scoring.END] for t in texts]
+    assert found.to_pylist() == [w for x in wanted for w in x] and sizes.tolist() == list(map(len, wanted))
+    tokens, shapes = lm_scoring._spelled(found.dictionary_encode().dictionary)
+    assert tokens == list(dict.fromkeys(w for x in wanted for w in x)) and (shapes == lm_scoring.shapes_of(tokens)).all()
+
+
 def test_scoring_takes_answers_row_by_row(spark, monkeypatch):
     """One array of all answers for each chunk was copied whole by an aggregation, a sort and a join; files by chunk need none of these, and no exchange."""
     plans, store = {}, lm_scoring.stored
